@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import op2_language
 from .mixing import op9_mixing
 from .token_output import op10_token_output
 from .tokens import op3_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language": op2_language,
     "op3_token_counts": op3_token_counts,
     "op9_mixing": op9_mixing,
     "op10_token_output": op10_token_output,
