@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import OP4_SQL, op4_decontaminate
 from .language import op2_language
 from .mixing import op9_mixing
 from .token_output import op10_token_output
@@ -14,8 +15,11 @@ from .tokens import op3_token_counts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_token_counts": op3_token_counts,
+    "op4_decontaminate": op4_decontaminate,
     "op9_mixing": op9_mixing,
     "op10_token_output": op10_token_output,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": OP4_SQL,
+}
