@@ -36,6 +36,13 @@ ALNUM = byte_table(bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z lower-cased."""
+    return _LOWER[data]
+
+
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 

@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from . import kernels as K
 from .common import new_path, small_batches, table
-from .tokens import PieceEncoder
+from .tokens import ENCODE_BYTES, encoder_of
 
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
 END_ID = 2
@@ -30,10 +30,10 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None =
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         for batch in batches:
             data, offsets = K.utf8(batch.column(1))
-            for i, j in K.slices(offsets, 4 * K.SLICE_BYTES):
+            for i, j in K.slices(offsets, ENCODE_BYTES):
                 ids, counts = encoder.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 if end_id is not None:
                     full = np.full(len(ids) + j - i, end_id, dtype=np.int32)

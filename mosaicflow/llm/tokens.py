@@ -2,10 +2,10 @@
 
 Two exact ways to cut an encoding:
 
-* `PieceEncoder` cuts a text before any ASCII white space that follows a character which surely is none.
-  The two tokenizers' patterns put no white space behind a visible character in one word, look ahead only over
-  white space, and normalise nothing across such a cut; so the pieces' ids, joined, are the text's ids. Each
-  distinct piece is encoded once and kept.
+* `PieceEncoder` cuts a text before any ASCII white space that follows a character which surely is none, and before
+  a stop that follows a letter. The two tokenizers' patterns end a word at both, look ahead only over white space,
+  and normalise nothing across such a cut; so the pieces' ids, joined, are the text's ids. Each distinct piece is
+  encoded once and kept.
 * `encode_huge` is overlap resynchronisation for documents too long to encode at once: overlapping chunks are
   encoded with offsets and spliced where both chunks begin a word at the same character. The pattern looks
   behind nowhere, so from a common word start on, both scans stay equal; before it, the left chunk's words are
@@ -30,10 +30,17 @@ GUARD = 64
 #: A document longer than this (in characters) goes by overlapping chunks.
 HUGE = 32_768
 CHUNK, OVERLAP = 16_384, 256
+#: Bytes of text whose distinct pieces are looked up at once.
+ENCODE_BYTES = 12_000_000
 
 _SPACE = ~K.SPACED
 _VISIBLE = np.zeros(256, dtype=bool)
 _VISIBLE[0x21:0x7F] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+#: Marks before which both patterns end a word of letters.
+_STOP = np.zeros(256, dtype=bool)
+_STOP[np.frombuffer(b",.;:!?", dtype=np.uint8)] = True
 
 
 def load_tokenizer(path: str):
@@ -43,8 +50,8 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where pieces start: at each document, and at white space behind a visible character.
+def piece_starts(data: np.ndarray, offsets: np.ndarray, stops: np.ndarray = _STOP) -> np.ndarray:
+    """Where pieces start: at each document, at white space behind a visible character, at a stop behind a letter A-Z, a-z.
 
     A visible character is ASCII 0x21-0x7E, or one of two UTF-8 bytes that starts with 0xC3-0xDF (no white space is).
     """
@@ -54,6 +61,7 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         visible = _VISIBLE[data]
         visible[1:] |= (data[1:] >= 0x80) & (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
         cut[1:n] = visible[:-1] & _SPACE[data[1:]]
+        cut[1:n] |= _LETTER[data[:-1]] & stops[data[1:]]
     cut[offsets] = True
     cut[n] = False
     return np.flatnonzero(cut)
@@ -62,9 +70,19 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     """Encodes text columns by distinct pieces; keeps up to `most` pieces between calls."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         self.tokenizer, self.most = load_tokenizer(path), most
         self.mark_id, self.mark = next((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized))
+        self.between = self.mark
+        if not self.tokenizer.encode(" \n ", add_special_tokens=False).ids and len(ids := self.tokenizer.encode("\x01", add_special_tokens=False).ids) == 1:
+            # white space is dropped, so a control character between blanks is a word and an id of its own
+            self.mark_id, self.mark, self.between = ids[0], "\x01", " \x01 "
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.stops = _STOP.copy()
+        for t in self.added:
+            self.stops[np.frombuffer(t, dtype=np.uint8)] = False
+        #: Capitals A-Z may be lowered before pieces are told apart where the library lowers them anyway.
+        self.lowers = all(self.tokenizer.encode(x, add_special_tokens=False).ids == self.tokenizer.encode(x.lower(), add_special_tokens=False).ids for x in ("ABC", "Hello", "E\u0301T", "XYZ Q"))
         self.index: dict[str, int] = {}
         self.lens = np.zeros(0, dtype=np.int64)
         self.starts = np.zeros(0, dtype=np.int64)
@@ -89,12 +107,13 @@ class PieceEncoder:
     def fresh(self, pieces: list[str], group: int = 1000) -> tuple[np.ndarray, np.ndarray]:
         """Ids of these pieces and each one's number of them.
 
-        Pieces go joined by an added token, for which the library cuts a text before anything else it does, so each
-        is encoded alone at a fraction of the cost of a call; a piece that has that token in it goes by itself.
+        Pieces go joined by a mark, so each is encoded alone at a fraction of the cost of a call: an added token, for
+        which the library cuts a text before anything else it does, or, where white space is dropped, a control
+        character between blanks. A piece that has the mark in it goes by itself.
         """
         alone = {k: self.tokenizer.encode(p, add_special_tokens=False).ids for k, p in enumerate(pieces) if self.mark in p}
         joined = [p if k not in alone else "" for k, p in enumerate(pieces)] if alone else pieces
-        runs = self.tokenizer.encode_batch_fast([self.mark.join(joined[k : k + group]) for k in range(0, len(joined), group)], add_special_tokens=False)
+        runs = self.tokenizer.encode_batch_fast([self.between.join(joined[k : k + group]) for k in range(0, len(joined), group)], add_special_tokens=False)
         ids = np.array([x for e in runs for x in (*e.ids, self.mark_id)], dtype=np.uint32)
         at = np.flatnonzero(ids == self.mark_id)
         lens = np.diff(at, prepend=-1) - 1
@@ -108,7 +127,11 @@ class PieceEncoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, want_ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (none if not wanted), and each document's number of ids."""
-        starts = piece_starts(data, offsets)
+        if self.lowers:
+            low = K.lowered(data)
+            if not any(t in low.tobytes() for t in self.added):  # an added token is matched before letters are lowered
+                data = low
+        starts = piece_starts(data, offsets, self.stops)
         column = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.concatenate((starts, [len(data)])).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
         words = column.dictionary_encode()
         known, by_lens, by_starts, flat = self.learn(words.dictionary.to_pylist())
@@ -121,6 +144,16 @@ class PieceEncoder:
         return flat[np.repeat(by_starts[codes] - sums[:-1], lens) + np.arange(sums[-1])], counts
 
 
+_encoders: dict[str, PieceEncoder] = {}
+
+
+def encoder_of(path: str) -> PieceEncoder:
+    """This process's encoder for a tokenizer; its pieces serve all tasks that the process gets."""
+    if path not in _encoders:
+        _encoders[path] = PieceEncoder(path)
+    return _encoders[path]
+
+
 def _chunk(tokenizer, text: str, a: int, b: int) -> tuple[list[int], dict[int, int]]:
     """Ids of text[a:b]; where words start (in the whole text) and at which of the ids."""
     e = tokenizer.encode(text[a:b], add_special_tokens=False)
@@ -175,12 +208,12 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         for batch in batches:
             data, offsets = K.utf8(batch.column(1))
             counts = np.zeros(batch.num_rows, dtype=np.int64)
             huge = np.diff(offsets) > HUGE
-            for i, j in K.slices(offsets, 4 * K.SLICE_BYTES):
+            for i, j in K.slices(offsets, ENCODE_BYTES):
                 sizes = np.diff(offsets[i : j + 1])
                 if huge[i:j].any():
                     sizes = np.where(huge[i:j], 0, sizes)
