@@ -49,4 +49,4 @@ def drop_stored(df: DataFrame) -> None:
     """Delete a stored table that nothing reads any more."""
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-    path.getFileSystem(spark._jsc.sessionState().newHadoopConf() if hasattr(spark._jsc, "sessionState") else spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import OP4_SQL, op4_decontaminate
 from .language import op2_language
 from .mixing import op9_mixing
+from .substring import OP7_SQL, op7_substring_dedup
 from .token_output import op10_token_output
 from .tokens import op3_token_counts
 
@@ -16,10 +17,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_token_output": op10_token_output,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": OP4_SQL,
+    "op7_substring_dedup": OP7_SQL,
 }
