@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP4_SQL, op4_decontaminate
 from .language import op2_language
+from .minhash import op8_minhash
 from .mixing import op9_mixing
 from .substring import OP7_SQL, op7_substring_dedup
 from .token_output import op10_token_output
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_minhash": op8_minhash,
     "op9_mixing": op9_mixing,
     "op10_token_output": op10_token_output,
 }
