@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP4_SQL, op4_decontaminate
 from .language import op2_language
+from .lines import OP1_SQL, op1_line_dedup
 from .minhash import op8_minhash
 from .mixing import op9_mixing
 from .substring import OP7_SQL, op7_substring_dedup
@@ -15,6 +16,7 @@ from .token_output import op10_token_output
 from .tokens import op3_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_language": op2_language,
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
@@ -25,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
     "op4_decontaminate": OP4_SQL,
     "op7_substring_dedup": OP7_SQL,
 }
