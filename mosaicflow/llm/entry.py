@@ -14,12 +14,14 @@ from .mixing import op9_mixing
 from .substring import OP7_SQL, op7_substring_dedup
 from .token_output import op10_token_output
 from .tokens import op3_token_counts
+from .warc import OP5_SQL, op5_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language": op2_language,
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
+    "op5_warc": op5_warc,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_minhash": op8_minhash,
     "op9_mixing": op9_mixing,
@@ -29,5 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op4_decontaminate": OP4_SQL,
+    "op5_warc": OP5_SQL,
     "op7_substring_dedup": OP7_SQL,
 }
