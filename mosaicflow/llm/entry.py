@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP4_SQL, op4_decontaminate
+from .embeddings import op6_embedding_dedup
 from .language import op2_language
 from .lines import OP1_SQL, op1_line_dedup
 from .minhash import op8_minhash
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_minhash": op8_minhash,
     "op9_mixing": op9_mixing,

@@ -3,13 +3,15 @@
 A document's set is its distinct word shingles, each a 64-bit hash; its sketch is the k smallest. Documents with equal
 sets form one node. Values kept in sketches make inverted lists. With sketches of k, two sets of similarity 0.8 share
 0.8 k values give or take sqrt(0.16 k), so at least SHARED k of them; ordered from rare to frequent, such sketches then
-have a value in common among the first (1 - SHARED) k + 1 of each, and only those are indexed: what many documents
+have m values in common among the first (1 - SHARED) k + m of each, and only those are indexed: what many documents
 share is never a list's key unless a document consists of it.
 
-Lists are worked off in two exact rounds. First each member is paired with its list's centre, the member with the most
-common sketch; the pair is estimated on the union of the two sketches and then verified on the full sets. Then, in lists
-that still hold several components, every member outside the list's largest component meets all members of other
-components, block by block, on full sets, inside tasks of bounded size which give out links only between components.
+The pairs are worked off in two exact rounds. Lists of up to HOT members give their pairs; two sketches that must share
+COMMON indexed values are a pair only when they meet in so many lists. Each node is first tested against its neighbour
+with the most common sketch, and each member of a longer list against that list's centre: an estimate on the union of
+the two sketches, then the full sets. Then come pairs that are still between components; in longer lists every member
+outside the list's largest component meets all members of other components, block by block, on full sets, inside tasks
+of bounded size which give out links only between components.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ SHINGLE, PERCENT = 5, 80
 #: Estimates this far below the threshold still go to the exact test: four standard deviations at 64 values.
 SLACK = 0.2
 BLOCK = 512
+#: Two nodes share at least so many indexed values (fewer where sketches are short); longer lists are hot.
+COMMON, HOT = 4, 64
 
 
 def shingle_sets(words: K.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,9 +209,30 @@ def residual_links(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent
     return dealt.repartition("v", "i", "j").sortWithinPartitions("v", "i", "j").select("v", "i", "j", "node", "comp", "minor", "set").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def prefix(t: Column) -> Column:
-    """How many of a sketch's t values, rarest first, are indexed."""
-    return t - F.floor(t * SHARED) + 1
+def prefix(t: Column, m: Column) -> Column:
+    """How many of a sketch's t values, rarest first, are indexed, for m of them to be in common."""
+    return t - F.floor(t * SHARED) + m
+
+
+def inverted_lists(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """(v, node, n, score, m, members, centre) of the indexed values that more than one node has.
+
+    score: how common the node's sketch is on the whole; m: of how many lists two such nodes must share at least;
+    centre: the list's member of the highest score.
+    """
+    reps = known.join(classes.select("k1", "k2", F.col("node").alias("doc_id")), ["k1", "k2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
+    reps = stored(reps.select(F.col("doc_id").alias("node"), "n", "sketch"), "minhash-nodes")
+    entries = reps.select("node", F.explode("sketch").alias("v")).repartition("v")  # dealt once, for the counts and the join
+    often = entries.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
+    common = entries.join(often, "v").groupBy("node").agg(F.collect_list(F.struct("df", "v")).alias("vs"))
+    common = common.join(reps.select("node", "n", F.size("sketch").alias("t")), "node")
+    m = F.greatest(F.lit(1), F.least(F.lit(COMMON), F.floor(F.col("t") * SHARED)))
+    left = prefix(F.col("t"), F.col("m")) - (F.col("t") - F.size("vs"))  # values of one node are the rarest and come first
+    indexed = common.withColumn("m", m).withColumn("score", F.expr("aggregate(vs, 0L, (s, x) -> s + x.df)") / F.col("t")).withColumn("left", left.cast("int")).filter("left > 0")
+    lists = indexed.select("node", "n", "score", "m", F.explode(F.slice(F.sort_array("vs"), F.lit(1), F.col("left"))).alias("x")).select("node", "n", "score", "m", F.col("x.v").alias("v"))
+    lists = stored(lists, "minhash-lists")
+    sizes = lists.groupBy("v").agg(F.max(F.struct("score", "node", "n")).alias("top"), F.count("*").alias("members")).filter("members > 1")
+    return stored(lists.join(sizes.select("v", "members", F.col("top.node").alias("c"), F.col("top.n").alias("cn")), "v"), "minhash-placed")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -224,23 +249,32 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     known = rows.filter("doc_id is not null and n > 0")
     classes = known.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("node"))
     members = stored(known.select("doc_id", "k1", "k2", "n").join(classes, ["k1", "k2", "n"]).select("doc_id", "node").distinct(), "minhash-members")
-    reps = known.join(classes.select("k1", "k2", F.col("node").alias("doc_id")), ["k1", "k2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
-    entries = reps.select(F.col("doc_id").alias("node"), "n", F.size("sketch").alias("t"), F.explode("sketch").alias("v"))
-    often = entries.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
-    common = stored(entries.join(often, "v").groupBy("node", "n", "t").agg(F.collect_list(F.struct("df", "v")).alias("vs")), "minhash-common")
-    left = prefix(F.col("t")) - (F.col("t") - F.size("vs"))  # values of one document are the rarest and come first
-    indexed = common.withColumn("score", F.expr("aggregate(vs, 0L, (s, x) -> s + x.df)") / F.col("t")).withColumn("left", left.cast("int")).filter("left > 0")
-    lists = indexed.select("node", "n", "score", F.explode(F.slice(F.sort_array("vs"), F.lit(1), F.col("left"))).alias("x")).select("node", "n", "score", F.col("x.v").alias("v"))
-    lists = stored(lists, "minhash-lists")
-
-    centres = lists.groupBy("v").agg(F.max(F.struct("score", F.col("node").alias("c"), F.col("n").alias("cn"))).alias("m"), F.count("*").alias("members")).filter("members > 1").select("v", "m.c", "m.cn")
-    full = stored(lists.join(centres, "v").select("v", "node", "n", "c", "cn"), "minhash-full-lists")
-    fits = 100 * F.least("n", "cn") >= percent * F.greatest("n", "cn")
-    pairs = full.filter((F.col("node") != F.col("c")) & fits).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
-    wanted = stored(full.select(F.col("node").alias("doc_id")).distinct(), "minhash-wanted")
+    placed = inverted_lists(known, classes)
+
+    def fits(a: str, b: str) -> Column:
+        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+    short, long = placed.filter(F.col("members") <= HOT), placed.filter(F.col("members") > HOT)
+    x = short.select("v", F.col("node").alias("a"), F.col("n").alias("an"), F.col("m").alias("am"), F.col("score").alias("ascore"))
+    y = short.select("v", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("m").alias("bm"), F.col("score").alias("bscore"))
+    met = x.join(y, "v").filter((F.col("a") < F.col("b")) & fits("an", "bn"))
+    met = met.groupBy("a", "b").agg(F.count("*").alias("lists"), F.first("am").alias("am"), F.first("bm").alias("bm"), F.first("ascore").alias("ascore"), F.first("bscore").alias("bscore"))
+    met = stored(met.filter(F.col("lists") >= F.least("am", "bm")).select("a", "b", "ascore", "bscore"), "minhash-pairs")
+    # first each node with its neighbour of the highest score, and each member of a long list with the list's centre
+    each = met.select(F.col("a").alias("node"), F.struct(F.col("bscore").alias("s"), F.col("b").alias("o")).alias("x")).union(met.select("b", F.struct(F.col("ascore").alias("s"), F.col("a").alias("o"))))
+    best = each.groupBy("node").agg(F.max("x").alias("x")).select("node", F.col("x.o").alias("o"))
+    starred = long.filter((F.col("node") != F.col("c")) & fits("n", "cn")).select("node", F.col("c").alias("o"))
+    pairs = best.union(starred).select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
+    wanted = met.select(F.col("a").alias("doc_id")).union(met.select("b")).union(long.select("node")).distinct()
+    wanted = stored(wanted, "minhash-wanted")
     sets = stored(full_sets(maybe(docs, id_bitmap(wanted)).join(wanted, "doc_id", "left_semi"), shingle), "minhash-sets")
     links = stored(verified(pairs, sets, percent), "minhash-links")
-    more = stored(residual_links(full.select("v", "node"), components(links), sets, percent), "minhash-more")
+    # then what is left between components: pairs of short lists one by one, long lists block by block
+    labels = components(links)
+    a, b = labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    rest = met.select("a", "b").join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    tested = rest.join(pairs, ["a", "b"], "left_anti")
+    more = stored(verified(tested, sets, percent).unionByName(residual_links(long.select("v", "node"), labels, sets, percent)), "minhash-more")
     same = members.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     labels = components(links.unionByName(more).unionByName(same))
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
