@@ -196,12 +196,12 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     return Model(languages, (weights * idf[:, None] * SCALE * factor).astype(np.float32), bias * factor)
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The kept columns, lang_pred and score of each row; `und` and 0 where the text is null, has no letter, or no model is there."""
+def predict(docs: DataFrame, model: Model | None, keep: list[str], prefix: str = "") -> DataFrame:
+    """The kept columns, lang_pred and score (after the prefix) of each row; `und` and 0 where the text is null, has no letter, or no model is there."""
     small_batches(docs.sparkSession)
     kept = docs.select(*[F.col(c) for c in keep], F.col("text").alias("text__"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter__"))
     if model is None:
-        return kept.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return kept.select(*keep, F.lit(UNKNOWN).alias(prefix + "lang_pred"), F.lit(0.0).alias(prefix + "score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages floats, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,10 +212,10 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
             best = p.argmax(axis=1)
             lang = [m.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters.tolist(), strict=True)]
             score = np.where(letters, p[np.arange(len(best)), best], 0.0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(lang, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(lang, pa.string()), pa.array(score)], names=[*keep, prefix + "lang_pred", prefix + "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keep)
-    return kept.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return kept.mapInArrow(run, f"{fields}, {prefix}lang_pred string, {prefix}score double")
 
 
 def held_out():  # noqa: ANN201
