@@ -172,8 +172,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     own = stored(docs.withColumn("rid__", F.monotonically_increasing_id()), "mix-docs")
     base = sized(own, F.col("rid__"))
     _, spans = mix(base)
-    runs = spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("epoch", "w0", "w1"))).alias("spans__"))
-    both = own.join(runs, own["rid__"] == runs["rid"]).select(*names, "spans__")
+    runs = spans.groupBy(F.col("rid").alias("rid__")).agg(F.sort_array(F.collect_list(F.struct("epoch", "w0", "w1"))).alias("spans__"))
+    both = own.join(runs, "rid__").select(*names, "spans__")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index("text")
