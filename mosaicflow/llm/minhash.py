@@ -254,7 +254,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     def fits(a: str, b: str) -> Column:
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
-    short, long = placed.filter(F.col("members") <= HOT), placed.filter(F.col("members") > HOT)
+    short = placed.filter(F.col("members") <= HOT)
+    # long lists of one centre are one list: near copies have tens of lists in common, and mostly one centre
+    long = stored(placed.filter(F.col("members") > HOT).select("node", "n", "c", "cn").distinct(), "minhash-long")
     x = short.select("v", F.col("node").alias("a"), F.col("n").alias("an"), F.col("m").alias("am"), F.col("score").alias("ascore"))
     y = short.select("v", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("m").alias("bm"), F.col("score").alias("bscore"))
     met = x.join(y, "v").filter((F.col("a") < F.col("b")) & fits("an", "bn"))
@@ -274,7 +276,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     a, b = labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     rest = met.select("a", "b").join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     tested = rest.join(pairs, ["a", "b"], "left_anti")
-    more = stored(verified(tested, sets, percent).unionByName(residual_links(long.select("v", "node"), labels, sets, percent)), "minhash-more")
+    more = stored(verified(tested, sets, percent).unionByName(residual_links(long.select(F.col("c").alias("v"), "node"), labels, sets, percent)), "minhash-more")
     same = members.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     labels = components(links.unionByName(more).unionByName(same))
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
