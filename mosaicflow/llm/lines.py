@@ -61,7 +61,8 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     near = rows.withColumn("bucket", F.bitmap_bucket_number("v")).withColumn("at", F.bitmap_bit_position("v")).join(F.broadcast(bits), "bucket")
     byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     kept = near.withColumn("byte", byte).filter(F.expr("getbit(byte, cast(at % 8 as int)) = 1"))
-    return kept.select("h1", "h2", "line").join(wanted, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    # stored, for the optimizer would move the join below the bitmap's filter and deal out all lines
+    return stored(kept.select("h1", "h2", "line"), "lines-near").join(wanted, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
 
 
 def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
