@@ -14,8 +14,9 @@ PARTS = 100
 
 def cycle_means(df: DataFrame, keys: list[str], cycle: str, value: str) -> DataFrame:
     """keys, cycle, mean (an integer, PARTS to a unit): all observations of one cycle, partial frames too, weigh alike."""
-    sums = df.groupBy(*keys, cycle).agg(F.sum(value).alias("s"), F.count(value).alias("k")).filter("k > 0")
-    return sums.select(*keys, cycle, F.expr(f"(2 * s * {PARTS} + k - pmod(2 * s * {PARTS} + k, 2 * k)) div (2 * k)").alias("mean"), "k")
+    sums = df.groupBy(*keys, cycle).agg(F.sum(value).alias("s__"), F.count(value).alias("n__")).filter("n__ > 0")
+    mean = F.expr(f"(2 * s__ * {PARTS} + n__ - pmod(2 * s__ * {PARTS} + n__, 2 * n__)) div (2 * n__)")
+    return sums.select(*keys, cycle, mean.alias("mean"))
 
 
 def moments(cycles: DataFrame, keys: list[str], min_count: int) -> DataFrame:
