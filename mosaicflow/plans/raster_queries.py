@@ -142,7 +142,7 @@ def decimated_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {A.PIXELS}, r as (select tile, unnest(range(0, 64)) as row from (select distinct tile from pixels)), g as (select tile, row, unnest(range(0, 64)) as col from r), d as (select g.*, case when like100 <> -3000 then like100 end as v from g left join pixels using (tile, row, col)) select a.tile, a.row, a.col, cast(sum(b.v) as double) / count(b.v) as smooth from d a join d b on a.tile = b.tile and b.row between a.row - 2 and a.row + 2 and b.col between a.col - 2 and a.col + 2 where a.v is not null group by all")
 def smoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = A.pixels(spark, sf_dir).select("tile", "row", "col", F.when(F.col("like100") != D.NO_DATA, F.col("like100")).alias("v"))
-    grid = p.select("tile").distinct().withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(63))).cast("long")).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(63))).cast("long"))
+    grid = p.select("tile").distinct().withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long")))).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long"))))
     return X.smooth(grid.join(p, ["tile", "row", "col"], "left"), ["tile"], 5).filter("v is not null").select("tile", "row", "col", "smooth")
 
 

@@ -112,7 +112,7 @@ def countries_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy("k").agg(F.array_join(F.sort_array(F.collect_set("name")), ", ").alias("countries"))
 
 
-@query(f"with {A.POINTS}, cls as (select cast(floor((px + 180) / 5) as bigint) as ci, cast(floor((py + 90) / 5) as bigint) as cj, max(1 + place_id % 2) as cls from places group by all), {A.PLACES} select pid, coalesce(cls, 0) as cls from points left join cls on ci = floor((x + 180) / 5) and cj = floor((y + 90) / 5)".replace("with points", "with points", 1))
+@query(f"with {A.POINTS}, {A.PLACES}, cls as (select cast(floor((px + 180) / 5) as bigint) as ci, cast(floor((py + 90) / 5) as bigint) as cj, max(1 + place_id % 2) as cls from places group by all) select pid, coalesce(cls, 0) as cls from points left join cls on ci = floor((x + 180) / 5) and cj = floor((y + 90) / 5)")
 def class_of_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = A.places(spark, sf_dir).selectExpr("cast(floor((px + 180) / 5) as bigint) as ci", "cast(floor((py + 90) / 5) as bigint) as cj", "1 + place_id % 2 as cls")
     return X.class_lookup(A.points(spark, sf_dir), c, -180.0, -90.0, 5.0).select("pid", "cls")
@@ -148,9 +148,9 @@ def quad_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.points(spark, sf_dir).withColumn("q", G.quad_address(F.col("x"), F.col("y"), 4)).select("pid", "q.z", F.col("q.x").alias("qx"), F.col("q.y").alias("qy"))
 
 
-@query(f"with {A.POINTS} select pid from points where abs(x - 10) / 60 + abs(y + 5) / 40 < 1")
+@query(f"with {A.POINTS} select pid from points where abs(x - 10.013) / 60 + abs(y + 5.017) / 40 < 1")
 def points_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ring = F.array(*[F.struct(F.lit(x).cast("double").alias("x"), F.lit(y).cast("double").alias("y")) for x, y in ((-50, -5), (10, -45), (70, -5), (10, 35), (-50, -5))])
+    ring = F.array(*[F.struct(F.lit(x).cast("double").alias("x"), F.lit(y).cast("double").alias("y")) for x, y in ((-49.987, -5.017), (10.013, -45.017), (70.013, -5.017), (10.013, 34.983), (-49.987, -5.017))])
     p = A.points(spark, sf_dir)
     return p.filter(S.in_polygon(F.col("x"), F.col("y"), ring)).select("pid")
 
