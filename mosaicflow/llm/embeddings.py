@@ -193,3 +193,15 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
+#: The same by all pairs.
+OP6_SQL = """
+with recursive v as (
+  select vec_id, cast(embedding as double[]) as x from embeddings where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda c: c is null or isnan(c) or isinf(c))) = 0
+), u as (select vec_id, x, list_dot_product(x, x) as n from v where list_dot_product(x, x) > 0
+), l as (select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id <> b.vec_id where list_dot_product(a.x, b.x) / sqrt(a.n * b.n) >= 0.95
+), r as (select vec_id as node, vec_id as seen from embeddings union select r.node, l.b from r join l on l.a = r.seen
+), c as (select node, min(seen) as component_id from r group by node), k as (select a, count(*) as n from l group by a)
+select vec_id, coalesce(k.n, 0) as n_links, component_id, vec_id = component_id as kept from embeddings left join k on k.a = vec_id join c on c.node = vec_id
+"""

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP4_SQL, op4_decontaminate
-from .embeddings import op6_embedding_dedup
+from .embeddings import OP6_SQL, op6_embedding_dedup
 from .language import op2_language
 from .lines import OP1_SQL, op1_line_dedup
-from .minhash import op8_minhash
+from .minhash import OP8_SQL, op8_minhash
 from .mixing import op9_mixing
 from .substring import OP7_SQL, op7_substring_dedup
 from .token_output import op10_token_output
@@ -34,5 +34,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op4_decontaminate": OP4_SQL,
     "op5_warc": OP5_SQL,
+    "op6_embedding_dedup": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
+    "op8_minhash": OP8_SQL,
 }

@@ -286,3 +286,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+#: The same by all pairs of documents with a shingle in common.
+OP8_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), s as (
+  select distinct doc_id, unnest(case when len(w) >= 2 then list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) else w end) as g from w
+), n as (select doc_id, count(*) as n from s group by doc_id
+), p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
+), l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)
+), e as (select a, b from l union select b, a from l
+), r as (select doc_id as node, doc_id as seen from documents union select r.node, e.b from r join e on e.a = r.seen
+), c as (select node, min(seen) as component_id from r group by node)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, component_id, d.doc_id = component_id as kept from documents d left join n on d.doc_id = n.doc_id join c on c.node = d.doc_id
+"""
