@@ -7,26 +7,14 @@ components come from rounds of least labels with path halving, each written out;
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 256
-
+from .tables import stored
 
-def _stored(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="mosaicflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/regions-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+BLOCK = 256
 
 
 def label_block(row: np.ndarray, col: np.ndarray, eight: bool) -> np.ndarray:
@@ -72,20 +60,20 @@ def regions(cells: DataFrame, key: str, eight: bool = True, block: int = BLOCK)
         first = label_block(row, col, eight)
         return pa.table({"k": t.column("k"), "row": t.column("row"), "col": t.column("col"), "part": pa.array(row[first] * (1 << 32) + col[first])})
 
-    parts = _stored(blocked.groupBy("k", "br", "bc").applyInArrow(run, "k string, row long, col long, part long"))
+    parts = stored(blocked.groupBy("k", "br", "bc").applyInArrow(run, "k string, row long, col long, part long"))
     edge = parts.filter((F.pmod("row", F.lit(block)).isin(0, block - 1)) | (F.pmod("col", F.lit(block)).isin(0, block - 1)))
     steps = [(1, 0), (0, 1)] + ([(1, 1), (1, -1)] if eight else [])
     moved = edge.withColumn("s", F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in steps])))
     moved = moved.select("k", (F.col("row") + F.col("s.a")).alias("row"), (F.col("col") + F.col("s.b")).alias("col"), F.col("part").alias("other"))
     links = edge.join(moved, ["k", "row", "col"]).filter("part <> other").select("k", F.col("part").alias("a"), F.col("other").alias("b")).distinct()
-    both = _stored(links.unionByName(links.select("k", F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = _stored(both.groupBy("k", "a").agg(F.min("b").alias("m")).select("k", F.col("a").alias("part"), F.least("a", "m").alias("region")))
+    both = stored(links.unionByName(links.select("k", F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = stored(both.groupBy("k", "a").agg(F.min("b").alias("m")).select("k", F.col("a").alias("part"), F.least("a", "m").alias("region")))
     while True:
         known = labels.select("k", F.col("part").alias("b"), F.col("region").alias("l"))
         near = both.join(known, ["k", "b"]).groupBy("k", F.col("a").alias("part")).agg(F.min("l").alias("near"))
         lower = labels.join(near, ["k", "part"]).select("k", "part", F.least("region", "near").alias("to"), F.col("region").alias("was"))
         up = labels.select("k", F.col("part").alias("to"), F.col("region").alias("top"))
-        new = _stored(lower.join(up, ["k", "to"]).select("k", "part", F.least("to", "top").alias("region"), "was"))
+        new = stored(lower.join(up, ["k", "to"]).select("k", "part", F.least("to", "top").alias("region"), "was"))
         moving = new.filter("region <> was").limit(1).count()
         labels = new.drop("was")
         if not moving:

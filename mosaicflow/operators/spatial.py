@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from ..functions import grids as G
 from ..functions import names as N
+from .tables import stored
 
 #: South, north, tile height, tile width, longitude factor of each band of tiles; the two polar caps.
 BANDS = [(-84, -78, 6, 60, 6), (-78, -72, 6, 24, 4), (-72, -66, 6, 18, 3), (-66, -60, 6, 12, 2), (-60, 60, 6, 6, 1), (60, 66, 6, 12, 2), (66, 72, 6, 18, 3), (72, 78, 6, 24, 4), (78, 84, 6, 60, 6)]
@@ -108,27 +109,26 @@ def in_polygon(x: Column, y: Column, ring: Column) -> Column:
     return F.size(F.filter(sides, lambda s: F.coalesce(crosses(s), F.lit(False)))) % 2 == 1
 
 
-def nearest(points: DataFrame, places: DataFrame, bucket: float, place_columns: list[str], rounds: int = 12) -> DataFrame:
-    """points (pid, x, y) with the nearest place (place_id, px, py), its distance in degrees; ties by place_id.
+def nearest(points: DataFrame, places: DataFrame, reach: float, place_columns: list[str], widest: float = 500.0) -> DataFrame:
+    """pid, d, place_id and place_columns of the nearest place (place_id, px, py) of each point (pid, x, y); ties by place_id.
 
-    Buckets are searched ring by ring: a place found within the searched square's half width is nearest for certain;
-    points without one go on with a square twice as wide. No pair of far places and points is ever built.
+    Squares about points are searched: a place no further than the square's half width is nearest for certain. Points
+    without one go on, from a written table, with squares three times as wide; the last round takes what it finds. No
+    pair of a point and a far place is built before that, and most points end in the first round.
     """
-    out, left, reach = None, points.select("pid", "x", "y"), bucket
-    for k in range(rounds):
-        r = reach
-        p = left.withColumns({"x0": F.col("x") - r, "y0": F.col("y") - r, "x1": F.col("x") + r, "y1": F.col("y") + r})
+    out, left = None, points.select("pid", "x", "y")
+    while True:
+        last = reach >= widest
+        p = left.withColumns({"x0": F.col("x") - reach, "y0": F.col("y") - reach, "x1": F.col("x") + reach, "y1": F.col("y") + reach})
         q = places.withColumns({"u0": F.col("px"), "v0": F.col("py"), "u1": F.col("px"), "v1": F.col("py")})
-        near = box_join(p, q, max(r, bucket), closed=True).withColumn("d", F.sqrt(F.pow(F.col("x") - F.col("px"), 2) + F.pow(F.col("y") - F.col("py"), 2)))
+        near = box_join(p, q, reach, closed=True).withColumn("d", F.sqrt(F.pow(F.col("x") - F.col("px"), 2) + F.pow(F.col("y") - F.col("py"), 2)))
         best = near.groupBy("pid").agg(F.min_by(F.struct("d", "place_id", *place_columns), F.struct("d", "place_id")).alias("b"))
-        found = best.filter(F.col("b.d") <= r) if k < rounds - 1 else best
-        found = found.select("pid", "b.*")
+        found = stored((best if last else best.filter(F.col("b.d") <= reach)).select("pid", "b.*"))
         out = found if out is None else out.unionByName(found)
-        left = left.join(found.select("pid"), "pid", "left_anti")
-        reach *= 2
-        if reach > 720:
-            break
-    return out
+        left = stored(left.join(found.select("pid"), "pid", "left_anti"))
+        if last or left.limit(1).count() == 0:
+            return out
+        reach *= 3
 
 
 def outline(df: DataFrame, segments: int = 12) -> DataFrame:
