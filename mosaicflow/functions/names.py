@@ -136,8 +136,12 @@ def zoom_range(text: Column, tile_size: int = 256) -> tuple[Column, Column]:
 
 
 def human_rate(value: Column) -> Column:
-    """Bytes a second with a unit."""
-    return F.when(value >= 1e9, F.format_string("%.2f GB/s", value / 1e9)).when(value >= 1e6, F.format_string("%.1f MB/s", value / 1e6)).when(value >= 1e3, F.format_string("%.0f kB/s", value / 1e3)).otherwise(F.format_string("%.0f B/s", value))
+    """Bytes a second in the largest unit of 1024 that leaves a whole."""
+    units = ("B/s", "KB/s", "MB/s", "GB/s")
+    out = F.format_string(f"%7.2f {units[3]}", value / 1024.0**3)
+    for k in (2, 1, 0):
+        out = F.when(value < 1024.0 ** (k + 1), F.format_string(f"%7.2f {units[k]}", value / 1024.0**k)).otherwise(out)
+    return out
 
 
 #: Messages after which a job is tried again.

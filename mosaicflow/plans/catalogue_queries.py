@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..operators import catalogue as C
 from ..operators import runs as R
+from ..sources.sinks import resolved_jobs
 from . import adapters as A
 from .registry import query
 
@@ -111,6 +112,13 @@ def job_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.job_groups(picks(spark, sf_dir)).select("tile", "freq", "term", F.size("files").cast("long").alias("n"), F.md5(F.array_join("files", ",")).alias("files"))
 
 
+@query(f"with {A.GRANULES}, {A.PARSED}, {PICKS} select tile, freq, case when pol in ('SH', 'DH', 'QP') then 'HH' else 'VV' end as term, md5(string_agg('/vsicurl/' || case when seq % 3 = 0 then 'https://data.example/' || name || '.h5' else '' end, ',' order by seq)) as paths from picks group by all")
+def job_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    urls = A.granules(spark, sf_dir).filter("k % 3 = 0")
+    out = resolved_jobs(C.job_groups(picks(spark, sf_dir)), urls, "vsicurl")
+    return out.select("tile", "freq", "term", F.md5(F.array_join("paths", ",")).alias("paths"))
+
+
 @query(f"with {A.GRANULES}, {A.PARSED}, {PICKS} select tile, count(*) as work, row_number() over (order by count(*) desc, tile) as rank from picks group by tile")
 def longest_jobs_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.longest_first(picks(spark, sf_dir).groupBy("tile").agg(F.count("*").alias("n")), F.col("n"), "tile").select("tile", "work", F.col("rank").cast("long").alias("rank"))
@@ -190,9 +198,9 @@ def log_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.log_lines(spark, sf_dir).select("run", "n", R.stamp_time(F.substring("line", 1, 14), F.lit(2024)).alias("at"))
 
 
-@query("select event_id, case when v >= 1e9 then printf('%.2f GB/s', v / 1e9) when v >= 1e6 then printf('%.1f MB/s', v / 1e6) when v >= 1e3 then printf('%.0f kB/s', v / 1e3) else printf('%.0f B/s', v) end as rate from (select event_id, cast(event_id * event_id * 37 + 11 as double) as v from events)")
+@query("select event_id, case when v < 1024 then printf('%7.2f B/s', v) when v < 1048576 then printf('%7.2f KB/s', v / 1024) when v < 1073741824 then printf('%7.2f MB/s', v / 1048576) else printf('%7.2f GB/s', v / 1073741824) end as rate from (select event_id, cast(event_id * event_id * 37 + 11.3 as double) as v from events)")
 def human_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.table(spark, sf_dir, "events").select("event_id", N.human_rate(F.expr("cast(event_id * event_id * 37 + 11 as double)")).alias("rate"))
+    return A.table(spark, sf_dir, "events").select("event_id", N.human_rate(F.expr("cast(event_id * event_id * 37 + 11.3 as double)")).alias("rate"))
 
 
 @query("select page_id, regexp_extract(html, '<title>(.*?)</title>', 1) as title, regexp_replace(html, '<title>.*?</title>', '<title>New &amp; best</title>') = html as same, len(regexp_extract_all(html, '<a href=')) as n_links from pages")

@@ -10,7 +10,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import term
+from ..functions.names import resolve_path, term
 
 
 def write_picks(picks: DataFrame, folder: str, cross: bool = False) -> None:
@@ -46,14 +46,22 @@ def box_polygon(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 
 
 def job_header(grid: Column) -> Column:
-    """Text of a job's grid header; origins are the first pixel's centre."""
+    """Text of a job's grid: first pixel's centre, size and spacing (degrees, or kilometres of a projected grid), no inputs."""
     unit = F.when(grid["epsg"] == 4326, 1.0).otherwise(1000.0)
+    centre = lambda o, d: (grid[o] + grid[d] / 2) / unit
     return F.format_string(
-        "; Image header\n; x size (pixels)\n%d\n; y size (pixels)\n%d\n; x and y pixel size\n%.12f %.12f\n; x and y origin, lower left\n%.9f %.9f\n",
-        grid["nx"].cast("long"), grid["ny"].cast("long"), grid["dx"].cast("double"), grid["dy"].cast("double"), (grid["x0"] + grid["dx"] / 2) / unit, (grid["y0"] + grid["dy"] / 2) / unit,
+        "%.9f %.9f %.9f %.9f %.12f %.12f\n;\n0\n;\n", centre("x0", "dx"), centre("y0", "dy"), grid["nx"] * grid["dx"] / unit, grid["ny"] * grid["dy"] / unit, grid["dx"] / unit, grid["dy"] / unit,
     )
 
 
+def resolved_jobs(groups: DataFrame, urls: DataFrame, spec: str, https: str = "https://", bucket: str = "") -> DataFrame:
+    """tile, freq, term, paths: a job's files as they are reached, in pick order; a file without an address has ''."""
+    named = groups.select("tile", "freq", "term", F.posexplode("files").alias("i", "file")).withColumn("name", F.regexp_replace("file", r"\.h5$", ""))
+    known = named.join(urls.select("name", "url").dropDuplicates(["name"]), "name", "left").withColumn("url", F.coalesce("url", F.lit("")))
+    path = resolve_path(spec, F.col("name"), F.col("url"), https, bucket)
+    return known.groupBy("tile", "freq", "term").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", path.alias("p")))), lambda x: x["p"]).alias("paths"))
+
+
 def histogram_table(hist: DataFrame, regions: list[str], bins: int = 400) -> DataFrame:
     """dB and one column of km2 a region, all bins; a pivot over a given list needs no pass to find it."""
     every = hist.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
