@@ -150,7 +150,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sid), shard, dtype=np.int64)), pa.array(order), pa.array(sid), pa.array(block), pa.array(epoch)], names=["shard", "slot", "sid", "block", "epoch"])
 
     drawn = spark.range(shards).mapInArrow(slots, "shard long, slot long, sid int, block long, epoch long")
-    return documents, drawn.join(blocks, ["sid", "block"]).select("shard", "slot", "sid", "block", "epoch", "rid", "w0", "w1")
+    # the planner takes the slots' size from the few shards, and would broadcast them all
+    return documents, drawn.hint("merge").join(blocks, ["sid", "block"]).select("shard", "slot", "sid", "block", "epoch", "rid", "w0", "w1")
 
 
 def sized(docs: DataFrame, rid: Column | None = None) -> DataFrame:
