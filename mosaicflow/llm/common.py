@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-#: Rows that Python gets at once; the kernels cut long batches again by bytes.
-BATCH_ROWS = 2000
+#: Bytes that an Arrow batch holds; the kernels cut longer ones again.
+BATCH_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, for whole texts are wide."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Bound what one Arrow batch holds by bytes, for whole texts are wide; narrow rows still come 10,000 at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,8 +45,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete a stored table that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -62,6 +62,7 @@ def _hit(words: K.Words, doc: int, at: int, h: int, n: int) -> dict:
 def benchmark_index(benchmark: DataFrame) -> DataFrame:
     """item_id (text), n_words of a short item (0 for others), hash, at, gram, before, after of each fingerprint."""
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sizes, hits = [], [], []
@@ -101,6 +102,7 @@ def scan(docs: DataFrame, bits: np.ndarray, short: list[int], keep: list[str]) -
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # 2**BITS / 8 bytes whatever the benchmark
     shift = np.uint64(64 - (len(bits) * 8).bit_length() + 1)
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ = np.unpackbits(shared.value, bitorder="little").view(bool)
         for batch in batches:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .common import stored, table
 from .graph import components
 
@@ -122,6 +123,7 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     vec_name = "array<double>" if "double" in vectors.schema["embedding"].dataType.simpleString() else "array<float>"
     node_kind = vectors.schema["vec_id"].dataType.simpleString()
 
+    @K.lean
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -138,6 +140,7 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("mine")).alias("i"), F.greatest(k, F.col("mine")).alias("j")))
     dealt = dealt.withColumn("to", F.explode(pair)).select("t", "key", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "node", "mine", "weight", "code", "vec")
 
+    @K.lean
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
 

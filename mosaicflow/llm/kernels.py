@@ -6,7 +6,10 @@ numpy passes and no Python object. Words never cross a document: a document's en
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +21,7 @@ WORD_BASE = 0xD6E8FEB86659FD93
 MIX_1, MIX_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 #: Bytes of text that one pass takes; a longer document is taken alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def byte_table(separators: bytes) -> np.ndarray:
@@ -33,6 +36,43 @@ SPACED = byte_table(bytes([0x20, *range(0x09, 0x0E)]))
 #: Words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing A-Z: digits, letters, anything beyond ASCII.
 ALNUM = byte_table(bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
+
+
+#: Caches that live as long as a worker runs tasks of one operator.
+_kept: dict = {"owner": "", "caches": []}
+
+
+def enter(owner: str) -> None:
+    """A task of this operator begins: what another one's tasks kept in this worker is of no use to it."""
+    if _kept["owner"] != owner:
+        for cache in _kept["caches"]:
+            cache.clear()
+        _kept["owner"] = owner
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, giving back what it has freed when its task ends: workers stay, and several share an executor."""
+    owner = f"{run.__module__}.{run.__qualname__}"
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(owner)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -44,6 +84,7 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_kept["caches"].append(_powers)
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,3 +236,22 @@ def word_runs(column: pa.Array, table: np.ndarray, lower: bool) -> Iterator[tupl
 def nested(flat: pa.Array, counts: np.ndarray) -> pa.Array:
     """A list column whose rows have so many of the flat values."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), flat)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of `size` bytes or a little more: the JVM sends small ones, for its buffers stay with it."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        waiting.append(batch)
+        if sum(b.nbytes for b in waiting) >= size:
+            yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+            waiting = []
+    if any(b.num_rows for b in waiting):
+        yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+
+
+def parts(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch's rows in batches of about `size` bytes."""
+    step = max(1, batch.num_rows * size // max(1, batch.nbytes))
+    for k in range(0, batch.num_rows, step):
+        yield batch.slice(k, step)

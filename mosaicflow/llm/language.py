@@ -163,6 +163,7 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         return None
     languages = sorted(counts)
 
+    @K.lean
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen, docs = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=bool), 0
         for batch in batches:
@@ -204,6 +205,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], prefix: str =
         return kept.select(*keep, F.lit(UNKNOWN).alias(prefix + "lang_pred"), F.lit(0.0).alias(prefix + "score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages floats, whatever the corpus
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import small_batches, stored, table
+from .common import drop_stored, small_batches, stored, table
 from .graph import components
 from .substring import id_bitmap, maybe, per_document, signed
 
@@ -59,6 +59,7 @@ def shingle_sets(words: K.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 def scan(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n (set size), k1, k2 (a 128-bit hash of the set) and the sketch of each row."""
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words in K.word_runs(batch.column(1), K.SPACED, True):
@@ -79,6 +80,7 @@ def scan(docs: DataFrame, size: int) -> DataFrame:
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
     """node, set: the sorted hashes of each row's shingles as bytes."""
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words in K.word_runs(batch.column(1), K.SPACED, True):
@@ -107,6 +109,7 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) of nodes those that are links."""
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -181,6 +184,7 @@ def residual_links(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent
     dealt = rows.withColumn("mine", mine).withColumn("to", F.explode(F.when(F.col("minor"), minor_to).otherwise(other_to)))
     dealt = dealt.select("v", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "node", "comp", "minor").join(sets, "node")
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
 
@@ -232,7 +236,9 @@ def inverted_lists(known: DataFrame, classes: DataFrame) -> DataFrame:
     lists = indexed.select("node", "n", "score", "m", F.explode(F.slice(F.sort_array("vs"), F.lit(1), F.col("left"))).alias("x")).select("node", "n", "score", "m", F.col("x.v").alias("v"))
     lists = stored(lists, "minhash-lists")
     sizes = lists.groupBy("v").agg(F.max(F.struct("score", "node", "n")).alias("top"), F.count("*").alias("members")).filter("members > 1")
-    return stored(lists.join(sizes.select("v", "members", F.col("top.node").alias("c"), F.col("top.n").alias("cn")), "v"), "minhash-placed")
+    placed = stored(lists.join(sizes.select("v", "members", F.col("top.node").alias("c"), F.col("top.n").alias("cn")), "v"), "minhash-placed")
+    drop_stored(reps, lists)
+    return placed
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -279,6 +285,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     more = stored(verified(tested, sets, percent).unionByName(residual_links(long.select(F.col("c").alias("v"), "node"), labels, sets, percent)), "minhash-more")
     same = members.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     labels = components(links.unionByName(more).unionByName(same))
+    drop_stored(members, placed, long, met, wanted, sets, links, more)  # rows and labels make the result
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

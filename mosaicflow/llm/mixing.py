@@ -129,6 +129,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
     counts = np.array([p["blocks"] for p in plan], dtype=np.int64)
     shards = max(1, -(-int(quotas.sum()) // shard_slots))
 
+    @K.lean
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.column(0).to_pylist():
@@ -176,6 +177,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     runs = spans.groupBy(F.col("rid").alias("rid__")).agg(F.sort_array(F.collect_list(F.struct("epoch", "w0", "w1"))).alias("spans__"))
     both = own.join(runs, "rid__").select(*names, "spans__")
 
+    @K.lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index("text")
         for batch in batches:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,7 @@ def per_document(values: np.ndarray, owner: np.ndarray, docs: int) -> tuple[np.n
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, whole_sha256 (all words joined by one space) and the distinct fingerprints of each row."""
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words in K.word_runs(batch.column(1), K.SPACED, False):
@@ -121,6 +123,7 @@ def maybe(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     n = len(bits) * 8
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slot = batch.column(0).to_numpy()
@@ -134,6 +137,7 @@ def maybe(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 def candidate_windows(docs: DataFrame) -> DataFrame:
     """(w, doc_id): distinct hashes of each document's windows whose fingerprint is among its `prints`."""
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words in K.word_runs(batch.column(1), K.SPACED, False):
@@ -154,6 +158,7 @@ def candidate_windows(docs: DataFrame) -> DataFrame:
 def repeats(rows: DataFrame) -> DataFrame:
     """Of (w, doc_id) those whose w also has a smaller doc_id: one shuffle, one sort, one streaming pass."""
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, first = None, None
         for batch in batches:
@@ -177,6 +182,7 @@ def repeats(rows: DataFrame) -> DataFrame:
 def cut(docs: DataFrame, with_text: bool) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept, the text) of documents with their repeated windows `ws`."""
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words in K.word_runs(batch.column(1), K.SPACED, False):
@@ -215,16 +221,15 @@ def dedup_substrings(docs: DataFrame, batches: int = BATCHES, index: Fingerprint
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = stored(scan(docs), "substring-scan")
     prints = rows.filter("doc_id is not null").select("doc_id", F.explode("prints").alias("hash"))
+    own = index is None
     index = index or FingerprintIndex(spark)
-    found = None
-    for b in range(batches):
-        part = prints.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == b)
-        new = index.add(part)
-        found = new if found is None else found.unionByName(new)
-    flagged = stored(found.groupBy("doc_id").agg(F.collect_set("hash").alias("prints")), "substring-flagged")
+    found = [index.add(prints.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == b)) for b in range(batches)]
+    flagged = stored(reduce(lambda a, b: a.unionByName(b), found).groupBy("doc_id").agg(F.collect_set("hash").alias("prints")), "substring-flagged")
+    drop_stored(*found, *(index.runs if own else []))
     again = stored(maybe(docs, id_bitmap(flagged)).join(flagged, "doc_id"), "substring-again")
     bad = repeats(candidate_windows(again)).groupBy("doc_id").agg(F.collect_list("w").alias("ws"))
     bad = stored(bad, "substring-repeats")
+    drop_stored(flagged)
     changed = cut(again.drop("prints").join(bad, "doc_id"), False)
     same = rows.join(bad.select("doc_id"), "doc_id", "left_anti").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole_sha256").alias("kept_sha256"))
     return same.unionByName(changed)

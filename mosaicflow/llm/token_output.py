@@ -29,9 +29,10 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None =
     """doc_id, n_tokens, tokens (array of int) of each row, in the order of the rows; end_id goes behind each document's ids."""
     small_batches(docs.sparkSession)
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer_path)
-        for batch in batches:
+        for batch in K.gathered(batches, ENCODE_BYTES):
             data, offsets = K.utf8(batch.column(1))
             for i, j in K.slices(offsets, ENCODE_BYTES):
                 ids, counts = encoder.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
@@ -39,7 +40,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None =
                     full = np.full(len(ids) + j - i, end_id, dtype=np.int32)
                     full[np.arange(len(ids)) + np.repeat(np.arange(j - i), counts)] = ids
                     ids, counts = full, counts + 1
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(counts), K.nested(pa.array(ids.astype(np.int32)), counts)], names=["doc_id", "n_tokens", "tokens"])
+                yield from K.parts(pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(counts), K.nested(pa.array(ids.astype(np.int32)), counts)], names=["doc_id", "n_tokens", "tokens"]))
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"doc_id {kind}, n_tokens long, tokens array<int>")
@@ -74,6 +75,7 @@ def token_digest(spark: SparkSession, path: str, id_type: T.DataType | None = No
     """
     small_batches(spark)
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)

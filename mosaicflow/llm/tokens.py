@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ GUARD = 64
 HUGE = 32_768
 CHUNK, OVERLAP = 16_384, 256
 #: Bytes of text whose distinct pieces are looked up at once.
-ENCODE_BYTES = 12_000_000
+ENCODE_BYTES = 4_000_000
 
 _SPACE = ~K.SPACED
 _VISIBLE = np.zeros(256, dtype=bool)
@@ -70,7 +71,7 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray, stops: np.ndarray = _STO
 class PieceEncoder:
     """Encodes text columns by distinct pieces; keeps up to `most` pieces between calls."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 300_000):
         self.tokenizer, self.most = load_tokenizer(path), most
         self.mark_id, self.mark = next((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized))
         self.between = self.mark
@@ -83,26 +84,28 @@ class PieceEncoder:
             self.stops[np.frombuffer(t, dtype=np.uint8)] = False
         #: Capitals A-Z may be lowered before pieces are told apart where the library lowers them anyway.
         self.lowers = all(self.tokenizer.encode(x, add_special_tokens=False).ids == self.tokenizer.encode(x.lower(), add_special_tokens=False).ids for x in ("ABC", "Hello", "E\u0301T", "XYZ Q"))
-        self.index: dict[str, int] = {}
-        self.lens = np.zeros(0, dtype=np.int64)
+        #: Kept pieces, by number their ids' lengths and starts in flat; Arrow and numpy, for a million strings would weigh.
+        self.known = pa.array([], pa.string())
+        self.lens = np.zeros(0, dtype=np.int32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
-    def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def learn(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The number of each piece; by number: ids' lengths and starts; all ids. Beyond `most` pieces none is kept for later."""
-        got = [self.index.get(p) for p in pieces]
-        missing = [k for k, i in enumerate(got) if i is None]
+        at = pc.index_in(pieces, value_set=self.known)
+        got = at.fill_null(-1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(got < 0)
         lens, starts, flat = self.lens, self.starts, self.flat
-        if missing:
-            new, new_lens = self.fresh([pieces[k] for k in missing])
-            for n, k in enumerate(missing, len(lens)):
-                got[k] = n
+        if len(missing):
+            new_pieces = pieces.take(pa.array(missing))
+            new, new_lens = self.fresh(new_pieces.to_pylist())
+            got[missing] = np.arange(len(lens), len(lens) + len(missing))
             starts = np.concatenate((starts, len(flat) + np.cumsum(new_lens) - new_lens))
-            lens, flat = np.concatenate((lens, new_lens)), np.concatenate((flat, new))
-            if len(self.index) + len(missing) <= self.most:
-                self.index.update((pieces[k], got[k]) for k in missing)
+            lens, flat = np.concatenate((lens, new_lens.astype(np.int32))), np.concatenate((flat, new))
+            if len(lens) <= self.most:
+                self.known = pa.concat_arrays([self.known, new_pieces])
                 self.lens, self.starts, self.flat = lens, starts, flat
-        return np.array(got, dtype=np.int64), lens, starts, flat
+        return got, lens, starts, flat
 
     def fresh(self, pieces: list[str], group: int = 1000) -> tuple[np.ndarray, np.ndarray]:
         """Ids of these pieces and each one's number of them.
@@ -129,14 +132,15 @@ class PieceEncoder:
         """All ids in a row (none if not wanted), and each document's number of ids."""
         if self.lowers:
             low = K.lowered(data)
-            if not any(t in low.tobytes() for t in self.added):  # an added token is matched before letters are lowered
+            raw = low.tobytes()
+            if not any(t in raw for t in self.added):  # an added token is matched before letters are lowered
                 data = low
         starts = piece_starts(data, offsets, self.stops)
         column = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.concatenate((starts, [len(data)])).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
         words = column.dictionary_encode()
-        known, by_lens, by_starts, flat = self.learn(words.dictionary.to_pylist())
+        known, by_lens, by_starts, flat = self.learn(words.dictionary)
         codes = known[words.indices.to_numpy()] if len(starts) else np.zeros(0, dtype=np.int64)
-        lens = by_lens[codes]
+        lens = by_lens[codes].astype(np.int64)
         sums = np.concatenate(([0], np.cumsum(lens)))
         counts = np.diff(sums[np.searchsorted(starts, offsets)])
         if not want_ids or not len(codes):
@@ -145,6 +149,7 @@ class PieceEncoder:
 
 
 _encoders: dict[str, PieceEncoder] = {}
+K._kept["caches"].append(_encoders)
 
 
 def encoder_of(path: str) -> PieceEncoder:
@@ -207,9 +212,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """
     small_batches(docs.sparkSession)
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer_path)
-        for batch in batches:
+        for batch in K.gathered(batches, ENCODE_BYTES):
             data, offsets = K.utf8(batch.column(1))
             counts = np.zeros(batch.num_rows, dtype=np.int64)
             huge = np.diff(offsets) > HUGE

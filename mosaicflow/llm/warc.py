@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .common import new_path, small_batches, stored, table
 
 BLOCK_LINES = 1000
@@ -110,6 +111,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     archive = f"{folder}/archive"
     filesystem(archive)[0].create_dir(filesystem(archive)[1], recursive=True)
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         name, out, offset = f"part-{context.partitionId():05d}-{context.taskAttemptId()}.warc.gz", None, 0
@@ -143,6 +145,7 @@ def write_index(found: DataFrame, folder: str) -> DataFrame:
     index = f"{folder}/index"
     filesystem(index)[0].create_dir(filesystem(index)[1], recursive=True)
 
+    @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         name, out, offset = f"cdx-{context.partitionId():05d}-{context.taskAttemptId()}.gz", None, 0
@@ -190,6 +193,7 @@ def block_lines(raw: bytes) -> list[dict]:
 def read_all(directory: DataFrame, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every record that the index has."""
 
+    @K.lean
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = filesystem(f"{folder}/index")
         for batch in batches:
@@ -197,6 +201,7 @@ def read_all(directory: DataFrame, folder: str) -> DataFrame:
                 lines = block_lines(read_range(files, f"{base}/{b['file']}", b["offset"], b["length"]))
                 yield captures([tuple(x[k] for k in ("key", "page_id", "url", "record_type", "digest", "file", "offset", "length")) for x in lines])
 
+    @K.lean
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = filesystem(f"{folder}/archive")
         name, f = None, None
