@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import drop_stored, stored, table
 
 THRESHOLD, QUARTERS, MIN_CHARS = 1, 4, 16
 BITS = 26
@@ -72,7 +72,9 @@ def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
     texts = stored(texts_of(docs, stored(wanted, "lines-wanted")), "lines-texts")
     a = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("x"))
     b = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("y"))
-    return pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).filter(F.levenshtein("x", "y", THRESHOLD) >= 0).select("a1", "a2", "b1", "b2")
+    found = stored(pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).filter(F.levenshtein("x", "y", THRESHOLD) >= 0).select("a1", "a2", "b1", "b2"), "lines-links")
+    drop_stored(pairs, texts)
+    return found
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -88,12 +90,13 @@ def line_report(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "rid", "line_no")
     firsts = every.filter("h1 is not null").groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *[F.first(k).alias(k) for k in OWN + PROBE])
     lines = stored(firsts, "lines-distinct")
-    found = stored(links(docs, lines), "lines-links")
+    found = links(docs, lines)
     both = found.union(found.select("b1", "b2", "a1", "a2")).toDF("h1", "h2", "o1", "o2")
     others = lines.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("first").alias("other"))
     near = both.join(others, ["o1", "o2"]).groupBy("h1", "h2").agg(F.min("other").alias("other"), F.count("*").alias("links"))
     known = lines.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").filter("n > 1 or links is not null")
     known = stored(known.select("h1", "h2", "first", (F.col("other") < F.col("first")).alias("alike"), "links"), "lines-known")
+    drop_stored(lines, found)
     marked = every.select("rid", "doc_id", "line_no", "h1", "h2").join(known, ["h1", "h2"], "left")
     repeat = F.col("first").isNotNull() & (place != F.col("first"))
     gone = repeat | F.coalesce("alike", F.lit(False))
