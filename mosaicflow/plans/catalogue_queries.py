@@ -89,7 +89,7 @@ def fill_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     u = usable(spark, sf_dir)
     rows = C.union_catalogues(*[u.filter(f"k % 3 = {i}") for i in range(3)])
-    return rows.groupBy("fill", "bw").agg(F.count("*").alias("n")).withColumn("tier", F.dense_rank().over(Window.orderBy("fill", F.desc("bw"))))
+    return rows.groupBy("fill", "bw").agg(F.count("*").alias("n")).withColumn("tier", F.dense_rank().over(Window.orderBy("fill", F.desc("bw"))).cast("long"))
 
 
 @query(f"with {A.GRANULES}, {A.PARSED}, keep as (select 'T' || (k % 50) as tile, k as seq, name, -1 as bw from granules where k % 5 = 0) select tile, seq, name, case when u.name is null then keep.bw else u.bw end as bw, case when u.name is null then 3 when u.k % 10 = 0 then 1 else 2 end as source from keep left join usable u using (name)")
