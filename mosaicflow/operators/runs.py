@@ -48,9 +48,15 @@ def progress(parsed: DataFrame, run: str, order: str) -> DataFrame:
 def merge_ranges(ranges: DataFrame, key: str, gap: int = 64 * 1024, piece: int = 16 * 1024 * 1024) -> DataFrame:
     """key, start, stop: byte ranges (offset, size) merged in order while gaps are small and the whole stays small.
 
-    The size rule depends on every merge before, so each key's sorted ranges are folded in one expression.
+    A gap wider than any merge allows ends an island for certain, which a running maximum tells. The size rule depends on
+    every merge before it, so each island's sorted ranges, and no more, are folded in one expression.
     """
-    rows = ranges.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("offset").cast("long").alias("a"), (F.col("offset") + F.col("size")).cast("long").alias("b")))).alias("r"))
+    spans = ranges.select(key, F.col("offset").cast("long").alias("a"), (F.col("offset") + F.col("size")).cast("long").alias("b"))
+    order = Window.partitionBy(key).orderBy("a", "b")
+    far = F.col("a") - F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1)) > gap
+    marked = spans.withColumn("far", F.coalesce(far, F.lit(True)).cast("long"))
+    islands = marked.withColumn("island", F.sum("far").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = islands.groupBy(key, "island").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("r"))
     fold = f"""aggregate(r, cast(array() as array<struct<a: bigint, b: bigint>>), (acc, x) ->
       if(size(acc) > 0 and x.a - element_at(acc, -1).b <= {gap} and x.b - element_at(acc, -1).a <= {piece},
          concat(slice(acc, 1, size(acc) - 1), array(named_struct('a', element_at(acc, -1).a, 'b', greatest(element_at(acc, -1).b, x.b)))),
