@@ -22,25 +22,27 @@ def parse_name(df: DataFrame, name: str = "name", allow_v: bool = False) -> Data
     usable channel go. The H channel comes first (A before B), then with allow_v the V channel; pairs use channel A.
     """
     n = F.col(name)
-    single = lambda i: F.regexp_extract(n, SINGLE, i)
-    pair = lambda i: F.regexp_extract(n, PAIR, i)
-    both = lambda i: F.when(n.rlike(PAIR), pair(i)).otherwise(single(i))
-    a, b = single(7), single(8)
     h, v = list(H_MODES), list(V_MODES)
-    channel = F.when(n.rlike(PAIR), F.when(pair(8).isin(h + (v if allow_v else [])), "A")).when(a.isin(h), "A").when(b.isin(h), "B")
+    # the pattern is matched once; what it fixes stands at fixed tokens, so the parts come from one split
+    out = df.filter(n.rlike(SINGLE) | n.rlike(PAIR)).withColumn("t__", F.split(n, "_")).withColumn("pair__", n.startswith("NISAR_L2_PR_GUNW_"))
+    t = lambda i: F.get("t__", F.lit(i))
+    pair = F.col("pair__")
+    a, b = F.substring(t(9), 1, 2), F.substring(t(9), 3, 2)
+    usable = t(10).isin(h + (v if allow_v else []))
+    channel = F.when(pair, F.when(usable, "A")).when(a.isin(h), "A").when(b.isin(h), "B")
     if allow_v:
         channel = channel.when(a.isin(v), "A").when(b.isin(v), "B")
-    out = df.filter(n.rlike(SINGLE) | n.rlike(PAIR)).withColumn("freq", channel).filter("freq is not null")
+    out = out.withColumn("freq", channel).filter("freq is not null")
     in_a = F.col("freq") == "A"
     return out.withColumns(
         {
-            "cycle": both(1), "track": both(2), "direction": both(3), "frame": both(4),
-            "bw": F.when(n.rlike(PAIR), pair(6)).when(in_a, single(5)).otherwise(single(6)).cast("int"),
-            "pol": F.when(n.rlike(PAIR), pair(8)).when(in_a, a).otherwise(b),
-            "mixed": ~n.rlike(PAIR) & (single(9) == "M"),
-            "version": F.substring_index(n, "_", -1),
+            "cycle": t(4), "track": t(5), "direction": t(6), "frame": t(7),
+            "bw": F.when(pair, F.substring(t(9), 1, 2)).when(in_a, F.substring(t(8), 1, 2)).otherwise(F.substring(t(8), 3, 2)).cast("int"),
+            "pol": F.when(pair, t(10)).when(in_a, a).otherwise(b),
+            "mixed": ~pair & (t(10) == "M"),
+            "version": F.element_at("t__", -1),
         }
-    )
+    ).drop("t__", "pair__")
 
 
 def token(name: Column, i: int) -> Column:
