@@ -5,7 +5,8 @@ fingerprints, and a document has about one for every 13 words. The index is a li
 (hash, doc_id) sorted by hash. A new batch becomes a run and is merge-joined with the runs before it; when there are
 more than `FANOUT` runs they are compacted into one. What the join finds is verified on whole windows: the documents
 with a common fingerprint are read again, the hashes of their 50-word windows under common fingerprints are sorted
-together, and every window but that of the smallest id is a repeat.
+together, and every window but that of the smallest id is a repeat. An index that outlives a call also keeps the texts
+that it has taken in, for the windows of later rows are held against theirs.
 
 Python streams over sorted rows, so no group, however large, is held in memory.
 """
@@ -75,10 +76,10 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of (hash, doc_id) in the shared folder."""
+    """Sorted immutable runs of (hash, doc_id), and tables of the texts (doc_id, text) of earlier calls, in the shared folder."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.runs = spark, []
+        self.spark, self.runs, self.texts = spark, [], []
 
     def write_run(self, rows: DataFrame) -> DataFrame:
         return stored(rows.select("hash", "doc_id").repartition("hash").sortWithinPartitions("hash", "doc_id"), "fingerprint-run")
@@ -107,6 +108,13 @@ class FingerprintIndex:
         for run in old:
             drop_stored(run)
 
+    def keep(self, docs: DataFrame) -> None:
+        """Take the texts of rows with an id in, for later calls; more than FANOUT tables become one."""
+        self.texts.append(stored(docs.filter("doc_id is not null and text is not null"), "fingerprint-texts"))
+        if len(self.texts) > FANOUT:
+            old, self.texts = self.texts, [stored(reduce(lambda a, b: a.unionByName(b), self.texts), "fingerprint-texts")]
+            drop_stored(*old)
+
 
 def id_bitmap(ids: DataFrame, bits: int = BITS) -> np.ndarray:
     """2**bits bits, set at hashes of the ids; 2**bits / 8 bytes (8 MB) at most, whatever the number of ids."""
@@ -179,6 +187,12 @@ def repeats(rows: DataFrame) -> DataFrame:
     return rows.repartition("w").sortWithinPartitions("w", "doc_id").mapInArrow(run, f"w long, doc_id {kind}")
 
 
+def repeats_of_old(rows: DataFrame, old: DataFrame) -> DataFrame:
+    """Of (w, doc_id) those whose w another doc_id has in old."""
+    seen = old.groupBy("w").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    return rows.join(seen, "w").filter("lo <> doc_id or hi <> doc_id").select("w", "doc_id")
+
+
 def cut(docs: DataFrame, with_text: bool) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept, the text) of documents with their repeated windows `ws`."""
 
@@ -215,6 +229,9 @@ def dedup_substrings(docs: DataFrame, batches: int = BATCHES, index: Fingerprint
     A word goes when a window of 50 words over it, taken from the input, also starts in a document of a smaller id.
     Null and empty texts have no words; documents shorter than a window keep all; a row without id neither loses words
     nor makes others lose them; rows of one id are judged against smaller ids only, never against each other.
+
+    With an index, rows of its earlier calls stand before those of this one whatever their ids: a word also goes when a
+    window over it starts in such a row of another id. Only rows of docs are given out; the index then has them too.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -226,10 +243,19 @@ def dedup_substrings(docs: DataFrame, batches: int = BATCHES, index: Fingerprint
     found = [index.add(prints.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == b)) for b in range(batches)]
     flagged = stored(reduce(lambda a, b: a.unionByName(b), found).groupBy("doc_id").agg(F.collect_set("hash").alias("prints")), "substring-flagged")
     drop_stored(*found, *(index.runs if own else []))
-    again = stored(maybe(docs, id_bitmap(flagged)).join(flagged, "doc_id"), "substring-again")
-    bad = repeats(candidate_windows(again)).groupBy("doc_id").agg(F.collect_list("w").alias("ws"))
-    bad = stored(bad, "substring-repeats")
-    drop_stored(flagged)
+    bits = id_bitmap(flagged)
+    again = stored(maybe(docs, bits).join(flagged, "doc_id"), "substring-again")
+    twice = candidate_windows(again)
+    if index.texts:
+        twice = stored(twice, "substring-windows")
+        old = candidate_windows(maybe(reduce(lambda a, b: a.unionByName(b), index.texts), bits).join(flagged, "doc_id"))
+        found = repeats(twice).unionByName(repeats_of_old(twice, old)).distinct()
+    else:
+        found = repeats(twice)
+    bad = stored(found.groupBy("doc_id").agg(F.collect_list("w").alias("ws")), "substring-repeats")
+    drop_stored(flagged, *([twice] if index.texts else []))
+    if not own:
+        index.keep(docs)
     changed = cut(again.drop("prints").join(bad, "doc_id"), False)
     same = rows.join(bad.select("doc_id"), "doc_id", "left_anti").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole_sha256").alias("kept_sha256"))
     return same.unionByName(changed)

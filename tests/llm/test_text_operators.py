@@ -123,6 +123,31 @@ def test_substring_without_rows_or_ids(spark):
     assert substring.dedup_substrings(df.limit(0)).count() == 0
 
 
+def test_substring_against_rows_of_earlier_calls(spark, rows):
+    passage = " ".join(f"p{i}" for i in range(55))
+    old, new = [x[:2] for x in rows[: len(rows) // 2]], [x[:2] for x in rows[len(rows) // 2 :]]
+    calls = [[*old, (900, f"a b {passage} c")], [*new, (-1, f"{passage} d"), (900, f"e {passage}"), (None, passage), (901, None)], [(-2, passage), (902, "f g")]]
+    index, earlier, lost = substring.FingerprintIndex(spark), defaultdict(set), 0
+    for call in calls:
+        got = {r.doc_id: r for r in substring.dedup_substrings(spark.createDataFrame(call, "doc_id long, text string").repartition(3), index=index).collect()}
+        assert len(got) == len(call)
+        words = {d: SPACED.findall(t or "") for d, t in call}
+        here = defaultdict(set)
+        for d, w in words.items():
+            for i in range(len(w) - 49 if d is not None else 0):
+                here[tuple(w[i : i + 50])].add(d)
+        for d, w in words.items():
+            again = lambda x: d is not None and (bool(earlier[x] - {d}) or min(here[x]) < d)  # noqa: B023, E731
+            gone = {k for i in range(len(w) - 49) if again(tuple(w[i : i + 50])) for k in range(i, i + 50)}
+            kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+            assert (got[d].n_words, got[d].n_removed, got[d].kept_sha256) == (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()), d
+        for x, ids in here.items():
+            earlier[x] |= ids
+        lost = {d: r.n_removed for d, r in got.items()}
+    assert lost == {-2: 55, 902: 0}
+    assert len(index.runs) <= substring.FANOUT
+
+
 def test_decontamination_against_all_windows(spark, docs, rows):
     texts = [t for _, t, *_ in rows if t]
     long = [" ".join(ALNUM.findall(t.translate(LOWER))[5:40]) for t in texts[8:30]]
