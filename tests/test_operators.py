@@ -49,6 +49,35 @@ def test_greedy_cover(seed):
         assert sum(c for _, c in got) == len(set().union(*[masks[k] for k, _ in got] or [set()]))
 
 
+def test_greedy_cover_query_against_plain_loop(spark, tmp_path):
+    from mosaicflow.plans.spatial_queries import greedy_cover
+
+    keys = range(1, 400)
+    spark.createDataFrame([(k, k) for k in keys], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    got = {}
+    for r in greedy_cover(spark, str(tmp_path)).collect():
+        got.setdefault(r.tile, []).append((r.seq, r.name, r.new_cells))
+    cells = {}
+    for k in keys:
+        left, low = k * 37 % 360 - 180, k * 53 % 150 - 75
+        cells[k] = {((x + 360) % 720 - 360, y) for x in range(2 * left, 2 * (left + 3 + k % 4)) for y in range(2 * low, 2 * (low + 3 + k % 3))}
+    want, places, small = {}, set(), 0
+    for name, x0, y0, x1, y1, *_ in spatial.lonlat_tiles(spark).collect():
+        inside = {k: {(x, y) for x, y in cells[k] if 2 * x0 <= x < 2 * x1 and 2 * y0 <= y < 2 * y1} for k in keys}
+        masks = {k: m for k, m in inside.items() if m}
+        ks = sorted(masks)
+        fill, bw, mixed = [k % 2 for k in ks], [(77, 40, 20, 5)[k % 4] for k in ks], [k % 11 == 0 for k in ks]
+        forced = [i for i, k in enumerate(ks) if k % 97 == 0]
+        picks = plain_cover([masks[k] for k in ks], fill, bw, mixed, forced, 4 * (x1 - x0) * (y1 - y0), 0.001, None)
+        if picks:
+            want[name] = [(n, str(ks[i]), new) for n, (i, new) in enumerate(picks)]
+            places |= {(x0, y0)}
+            small += any(new < int(0.08 * (x1 - x0) * (y1 - y0)) for i, new in picks if i not in forced)
+    assert {t: sorted(rows) for t, rows in got.items()} == want
+    assert any(x < -60 or x >= 60 or y < -30 or y >= 30 for x, y in places)
+    assert small
+
+
 def test_cover_by_tile(spark):
     rows = [(t, f"g{k}", k, 0, 20 if k % 2 else 40, False, None, c, 100, None) for t in ("a", "b") for k in range(6) for c in range(k * 7, k * 7 + 10)]
     df = spark.createDataFrame(rows, "tile string, name string, ordinal int, fill int, bw int, mixed boolean, forced double, cell long, n_cells long, target boolean")
