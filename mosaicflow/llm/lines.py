@@ -7,7 +7,8 @@ quarter's number in them. A line of length L indexes its own four keys and probe
 part then starts one character later. Candidates, lines with a key in common, are verified by the banded edit
 distance that Spark has built in (row by row in the band; a bit-parallel one is not among its functions).
 
-Lines of fewer than MIN_CHARS characters are alike only when equal, and blank lines are never touched.
+Lines of fewer than min_chars characters (MIN_CHARS, as OP1_SQL has it) are alike only when equal; with 1, lines of any
+length are linked. Blank lines are never touched.
 """
 
 from __future__ import annotations
@@ -30,14 +31,14 @@ def key(line: Column, size: Column, base: Column, i: int) -> Column:
     return F.xxhash64(base, F.lit(i), line.substr(F.lit(1), begin), line.substr(size - rest + 1, rest))
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
+def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """rid, doc_id, line_no (from 0), h1, h2 (a 128-bit hash of the line) and its keys, for each line that is not blank.
 
     A row without lines gives one row without line_no, a blank line one without h1.
     """
     rows = docs.withColumn("rid", F.monotonically_increasing_id()).select("rid", "doc_id", F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"))
     size = F.char_length("line")
-    seen, long = F.trim("line") != "", size >= MIN_CHARS
+    seen, long = F.trim("line") != "", size >= min_chars
     keys = [F.when(long, key(F.col("line"), size, size, i)).alias(n) for i, n in enumerate(OWN)] + [F.when(long, key(F.col("line"), size, size - 1, i)).alias(n) for i, n in enumerate(PROBE)]
     return rows.select("rid", "doc_id", "line_no", F.when(seen, F.xxhash64("line")).alias("h1"), F.when(seen, F.xxhash64(F.lit(1), F.col("line"))).alias("h2"), *keys)
 
@@ -52,11 +53,11 @@ def candidates(lines: DataFrame) -> DataFrame:
     return left.join(right, "k").filter(F.col("longer") | first).select("a1", "a2", "b1", "b2").distinct()
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
     """h1, h2, line of the wanted lines. A bitmap of their hashes, 8 MB whatever their number, keeps others from the shuffle."""
     slot = F.pmod(F.col("h1"), F.lit(1 << BITS)) + 1
     bits = wanted.select(slot.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits"))
-    rows = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).filter(F.char_length("line") >= MIN_CHARS)
+    rows = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).filter(F.char_length("line") >= min_chars)
     rows = rows.select("line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2")).withColumn("v", slot)
     near = rows.withColumn("bucket", F.bitmap_bucket_number("v")).withColumn("at", F.bitmap_bit_position("v")).join(F.broadcast(bits), "bucket")
     byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
@@ -65,11 +66,11 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(kept.select("h1", "h2", "line"), "lines-near").join(wanted, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
 
 
-def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
+def links(docs: DataFrame, lines: DataFrame, min_chars: int) -> DataFrame:
     """(a1, a2, b1, b2) of all pairs of different lines at an edit distance of at most THRESHOLD."""
     pairs = stored(candidates(lines), "lines-candidates")
     wanted = pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).union(pairs.select("b1", "b2")).distinct()
-    texts = stored(texts_of(docs, stored(wanted, "lines-wanted")), "lines-texts")
+    texts = stored(texts_of(docs, stored(wanted, "lines-wanted"), min_chars), "lines-texts")
     a = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("x"))
     b = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("y"))
     found = stored(pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).filter(F.levenshtein("x", "y", THRESHOLD) >= 0).select("a1", "a2", "b1", "b2"), "lines-links")
@@ -77,7 +78,7 @@ def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return found
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, n_lines, n_repeats, n_removed, n_links, removed_lines of each row of docs (doc_id, text).
 
     A line that is not blank is removed if an equal or alike line stands before it: in a smaller (doc_id, row), or
@@ -86,11 +87,11 @@ def line_report(docs: DataFrame) -> DataFrame:
     empty one has one blank line; null ids come before all others; repeated rows are rows of their own.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    every = stored(occurrences(docs), "lines-every")
+    every = stored(occurrences(docs, min_chars), "lines-every")
     place = F.struct("doc_id", "rid", "line_no")
     firsts = every.filter("h1 is not null").groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *[F.first(k).alias(k) for k in OWN + PROBE])
     lines = stored(firsts, "lines-distinct")
-    found = links(docs, lines)
+    found = links(docs, lines, min_chars)
     both = found.union(found.select("b1", "b2", "a1", "a2")).toDF("h1", "h2", "o1", "o2")
     others = lines.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("first").alias("other"))
     near = both.join(others, ["o1", "o2"]).groupBy("h1", "h2").agg(F.min("other").alias("other"), F.count("*").alias("links"))
@@ -113,9 +114,9 @@ def line_report(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_lines(docs: DataFrame) -> DataFrame:
+def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs, whose ids are unique, without the lines that line_report removes; all other columns stay."""
-    report = line_report(docs).filter("n_removed > 0").select(F.col("doc_id").alias("doc_id__"), F.split("removed_lines", ",").cast("array<int>").alias("gone__"))
+    report = line_report(docs, min_chars).filter("n_removed > 0").select(F.col("doc_id").alias("doc_id__"), F.split("removed_lines", ",").cast("array<int>").alias("gone__"))
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("gone__", i)), "\n")
     out = docs.join(report, F.col("doc_id") == F.col("doc_id__"), "left")
     return out.withColumn("text", F.when(F.col("gone__").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)

@@ -223,6 +223,16 @@ def test_lines_against_all_pairs(spark, rows):
     assert lines.line_report(docs.limit(0)).count() == 0
 
 
+def test_lines_of_any_length(spark):
+    own = ["Contact us", "Contact us.", "Read more", "Read more>", "a", "b", "ab", "é", "abc", "acb", " a", "   ", "123456789012345", "1234567890123456", "xyzw", "xyw", "yzw"]
+    docs = spark.createDataFrame([(0, "\n".join(own))], "doc_id long, text string")
+    near = {a: [b for b in own if a != b and b.strip(" ") and distance(a, b) <= 1] if a.strip(" ") else [] for a in own}
+    gone = [n for n, a in enumerate(own) if any(own.index(b) < n for b in near[a])]
+    got = lines.line_report(docs, min_chars=1).first()
+    assert (got.n_lines, got.n_removed, got.n_links, got.removed_lines) == (len(own), len(gone), sum(map(len, near.values())), ",".join(map(str, gone)))
+    assert lines.line_report(docs).first().n_links == 0
+
+
 def test_mixing(spark, docs, rows):
     sizes = {d: len(SPACED.findall(t or "")) for d, t, *_ in rows}
     out = mixing.mix(mixing.sized(docs), block_words=8, shard_slots=50)
