@@ -8,8 +8,8 @@ share is never a list's key unless a document consists of it.
 
 The pairs are worked off in two exact rounds. Lists of up to HOT members give their pairs; two sketches that must share
 COMMON indexed values are a pair only when they meet in so many lists. Each node is first tested against its neighbour
-with the most common sketch, and each member of a longer list against that list's centre: an estimate on the union of
-the two sketches, then the full sets. Then come pairs that are still between components; in longer lists every member
+with the most common sketch, and each member of a longer list against that list's centre, on the full sets, which are
+at hand, so that no estimate loses a link. Then come pairs that are still between components; in longer lists every member
 outside the list's largest component meets all members of other components, block by block, on full sets, inside tasks
 of bounded size which give out links only between components.
 """
@@ -30,8 +30,6 @@ from .substring import id_bitmap, maybe, per_document, signed
 
 SKETCH, SHARED = 64, 0.578
 SHINGLE, PERCENT = 5, 80
-#: Estimates this far below the threshold still go to the exact test: four standard deviations at 64 values.
-SLACK = 0.2
 BLOCK = 512
 #: Two nodes share at least so many indexed values (fewer where sketches are short); longer lists are hot.
 COMMON, HOT = 4, 64
@@ -93,13 +91,6 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"node {kind}, set binary")
 
 
-def estimate(x: np.ndarray, y: np.ndarray) -> float:
-    """Similarity on the sketch of the union: of its values, the share that both sketches have."""
-    union = np.union1d(x[:SKETCH], y[:SKETCH])[:SKETCH]
-    both = np.intersect1d(x[:SKETCH], y[:SKETCH], assume_unique=True)
-    return np.searchsorted(both, union[-1], side="right") / len(union)
-
-
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """100 |x & y| >= percent |x | y|, exactly."""
     both = len(np.intersect1d(x, y, assume_unique=True))
@@ -115,7 +106,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
-                keep.append(bool(len(x) and len(y)) and estimate(x, y) >= percent / 100 - SLACK and similar(x, y, percent))
+                keep.append(bool(len(x) and len(y)) and similar(x, y, percent))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 

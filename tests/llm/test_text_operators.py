@@ -92,6 +92,18 @@ def test_minhash_long_lists_go_by_blocks(docs, rows, monkeypatch):
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, shingle=2).collect()} == want
 
 
+def test_minhash_verifies_on_full_sets(spark):
+    """Two sets of similarity 0.8 exactly, whose sketches share only 36 of 64 values."""
+    import numpy as np
+
+    # the 64 least of the union: 36 in both, 28 in y only; behind them what makes the similarity up
+    only, both = list(range(28)) + list(range(1000, 1172)), list(range(28, 64)) + list(range(2000, 2764))
+    x, y = np.array(sorted(both), dtype=np.uint64), np.array(sorted(both + only), dtype=np.uint64)
+    sets = spark.createDataFrame([(1, x.tobytes()), (2, y.tobytes()), (3, y[:-1].tobytes()), (4, x[1:].tobytes())], "node long, set binary")
+    pairs = spark.createDataFrame([(1, 2), (4, 3)], "a long, b long")
+    assert [tuple(r) for r in minhash.verified(pairs, sets, 80).collect()] == [(1, 2)]
+
+
 def test_minhash_repeated_ids_and_nulls(spark):
     df = spark.createDataFrame([(1, "a b c"), (1, "x y z"), (2, "x y z"), (None, "x y z"), (3, None)], "doc_id long, text string")
     got = sorted((r.doc_id is None, r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df, shingle=2).collect() if r.doc_id is not None)
