@@ -2,8 +2,8 @@
 
 A fingerprint is the least of the 26 hashes of 25-word runs inside a window of 50 words; equal windows have equal
 fingerprints, and a document has about one for every 13 words. The index is a list of immutable runs, each a table of
-(hash, doc_id) sorted by hash. A new batch becomes a run and is merge-joined with the runs before it; when there are
-more than `FANOUT` runs they are compacted into one. What the join finds is verified on whole windows: the documents
+(hash, doc_id) sorted by hash. A new batch becomes a run and is grouped by hash with the runs before it; when there are
+more than `FANOUT` runs they are compacted into one. What the grouping finds is verified on whole windows: the documents
 with a common fingerprint are read again, the hashes of their 50-word windows under common fingerprints are sorted
 together, and every window but that of the smallest id is a repeat. An index that outlives a call also keeps the texts
 that it has taken in, for the windows of later rows are held against theirs.
