@@ -18,19 +18,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
-    """Bound what one Arrow batch holds by bytes, for whole texts are wide; narrow rows still come 10,000 at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    """Bound what one Arrow batch holds by bytes, for whole texts are wide; narrow rows still come 10,000 at once.
+
+    The setting is the session's, for it is read when a plan runs; a smaller one that the user has set stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    if not (now and now.isdigit() and 0 < int(now) <= size):
+        spark.conf.set(name, str(size))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors and the driver see: spark.checkpoint.dir, else a local one (tests)."""
+    """The folder that all executors and the driver see: spark.checkpoint.dir.
+
+    Where it is unset, a session of one process (master local) gets a folder of its own; on a cluster that would leave
+    each executor's rows on its own disk, so there it is an error.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="mosaicflow-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has, whatever their case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -45,9 +68,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop_stored(*tables: DataFrame) -> None:
     """Delete stored tables that nothing reads any more."""
     for df in tables:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        drop_path(df.sparkSession, df.stored_at)
