@@ -1,10 +1,14 @@
 """WARC archives with a two-level capture index.
 
 Archives: gzip members, one a record, written by tasks into the shared folder under names of their own attempt, so
-that a task run twice never touches what another wrote; only files that the index names count. The index: captures
-sorted by reversed-host URL key, gathered into compressed blocks of BLOCK_LINES lines in a few files, and a sparse
-directory with one entry a block. A look-up searches the directory by bisection, reads one block, searches it by
-bisection and reads one record's range. Reading everything back takes all blocks and visits each archive in order.
+that a task run twice never touches what another wrote; only files that the index names count. A file is closed at
+ROLL_BYTES and the next one begun. The index: captures sorted by reversed-host URL key and page id, gathered into
+compressed blocks of BLOCK_LINES lines; an index file ends with a sparse directory of its blocks, one entry a block, and
+a footer that says where that begins. A table has each index file's first entry, one row a file.
+
+A look-up searches that table by bisection, then the file's directory, reads one block's range, searches it by bisection
+and reads the record's range. Many look-ups go the same way in sorted order, dealt by ranges of keys, so that a task reads
+few directories and each block once; their records are then read in the order of archives and offsets.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ import base64
 import bisect
 import hashlib
 import json
+import struct
 import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -27,6 +32,10 @@ from .common import new_path, small_batches, stored, table
 
 BLOCK_LINES = 1000
 LEVEL = 3
+ROLL_BYTES = 1 << 30
+#: Compressed bytes that one task reads back.
+READ_BYTES = 64 << 20
+FOOTER, FOOTER_BYTES = "<QQ", 16
 #: A record's date where the table has none (fixed, so that reruns write equal bytes).
 DATE = "1970-01-01T00:00:00Z"
 RECORD = "urn:mosaicflow:page:"
@@ -106,20 +115,24 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     narrow = pages.select("page_id", F.sha1("html").alias("sha"), F.octet_length("html").alias("size")).filter("page_id is not null")
     narrow = stored(narrow, "warc-digests")
     firsts = narrow.groupBy("sha", "size").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    revisits = narrow.join(stored(firsts, "warc-firsts"), ["sha", "size"]).filter("page_id <> refers_to").select(F.col("page_id").alias("id__"), F.col("sha").alias("sha__"), "refers_to").distinct()
-    rows = pages.withColumn("sha__", F.sha1("html")).withColumn("id__", F.col("page_id")).join(revisits, ["id__", "sha__"], "left").select("page_id", "url", "html", "refers_to")
+    revisits = narrow.join(stored(firsts, "warc-firsts"), ["sha", "size"]).filter("page_id <> refers_to").select("page_id", "sha", "refers_to").distinct()
+    rows = pages.withColumn("sha", F.sha1("html")).join(revisits, ["page_id", "sha"], "left").select("page_id", "url", "html", "refers_to")
     archive = f"{folder}/archive"
     filesystem(archive)[0].create_dir(filesystem(archive)[1], recursive=True)
 
     @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        name, out, offset = f"part-{context.partitionId():05d}-{context.taskAttemptId()}.warc.gz", None, 0
+        part, out, offset, number, name = f"part-{context.partitionId():05d}-{context.taskAttemptId()}", None, 0, 0, ""
         files, base = filesystem(archive)
         for batch in batches:
             found = []
             for page_id, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if out is not None and offset >= ROLL_BYTES:
+                    out.close()
+                    out = None
                 if out is None:
+                    name, offset, number = f"{part}-{number:05d}.warc.gz", 0, number + 1
                     out = files.open_output_stream(f"{base}/{name}", compression=None)
                 payload = html.encode()
                 digest = digest_of(payload)
@@ -140,15 +153,20 @@ def captures(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "page_id", "url", "record_type", "digest", "file", "offset", "length"])
 
 
+def place(key: str, page_id: int | None) -> tuple:
+    """What captures are sorted by; no page id comes first, as in Spark's order."""
+    return key, page_id is not None, page_id or 0
+
+
 def write_index(found: DataFrame, folder: str) -> DataFrame:
-    """Sort captures by key into compressed blocks under folder/index; the directory: first_key, file, offset, length, n."""
+    """Sort captures into blocks under folder/index; a stored table of index files: first_key, first_id, file, size, n."""
     index = f"{folder}/index"
     filesystem(index)[0].create_dir(filesystem(index)[1], recursive=True)
 
     @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        name, out, offset = f"cdx-{context.partitionId():05d}-{context.taskAttemptId()}.gz", None, 0
+        name, out, offset, n = f"cdx-{context.partitionId():05d}-{context.taskAttemptId()}.gz", None, 0, 0
         files, base = filesystem(index)
         waiting: list[dict] = []
         directory: list[tuple] = []
@@ -157,52 +175,138 @@ def write_index(found: DataFrame, folder: str) -> DataFrame:
             nonlocal out, offset
             if out is None:
                 out = files.open_output_stream(f"{base}/{name}", compression=None)
-            packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-            raw = packer.compress("".join(json.dumps(r, separators=(",", ":")) + "\n" for r in waiting).encode()) + packer.flush()
+            raw = packed_lines(waiting)
             out.write(raw)
-            directory.append((waiting[0]["key"], name, offset, len(raw), len(waiting)))
+            directory.append((waiting[0]["key"], waiting[0]["page_id"], offset, len(raw)))
             offset += len(raw)
             waiting.clear()
 
         for batch in batches:
             for r in batch.to_pylist():
                 waiting.append(r)
+                n += 1
                 if len(waiting) == BLOCK_LINES:
                     flush()
         if waiting:
             flush()
         if out is not None:
+            raw = packed_lines(directory)
+            out.write(raw + struct.pack(FOOTER, offset, len(raw)))
             out.close()
-        columns = list(zip(*directory, strict=True)) if directory else [[]] * 5
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["first_key", "file", "offset", "length", "n"])
+            offset += len(raw) + FOOTER_BYTES
+        first = directory[:1]
+        columns = [[d[0] for d in first], [d[1] for d in first], [name] * len(first), [offset] * len(first), [n] * len(first)]
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["first_key", "first_id", "file", "size", "n"])
 
     ordered = found.select("key", "page_id", "url", "record_type", "digest", "file", "offset", "length").repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
-    return stored(ordered.mapInArrow(run, "first_key string, file string, offset long, length long, n long"), "warc-directory")
+    return stored(ordered.mapInArrow(run, "first_key string, first_id long, file string, size long, n long"), "warc-directory")
 
 
-def read_range(files, path: str, offset: int, length: int) -> bytes:  # noqa: ANN001
-    with files.open_input_file(path) as f:
-        return f.read_at(length, offset)
+def packed_lines(rows: list) -> bytes:
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return packer.compress("".join(json.dumps(r, separators=(",", ":")) + "\n" for r in rows).encode()) + packer.flush()
 
 
-def block_lines(raw: bytes) -> list[dict]:
+def unpacked_lines(raw: bytes) -> list:
     return [json.loads(x) for x in zlib.decompress(raw, 31).decode().split("\n")[:-1]]
 
 
-def read_all(directory: DataFrame, folder: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record that the index has."""
+class CaptureIndex:
+    """Look-ups by URL key and page id. In memory: one entry an index file, the directories and the block last read."""
+
+    def __init__(self, folder: str, roots: list[tuple]):
+        self.folder, self.roots = folder, sorted(roots, key=lambda r: place(r[0], r[1]))
+        self.starts = [place(r[0], r[1]) for r in self.roots]
+        self.directory: tuple[str, list, list] = ("", [], [])
+        self.block: tuple[tuple, list, list] = ((), [], [])
+        self.reads = 0
+
+    @classmethod
+    def of(cls, directory: DataFrame, folder: str) -> CaptureIndex:
+        return cls(folder, roots_of(directory))
+
+    def range(self, kind: str, file: str, offset: int, length: int) -> bytes:
+        files, base = filesystem(f"{self.folder}/{kind}")
+        self.reads += 1
+        with files.open_input_file(f"{base}/{file}") as f:
+            return f.read_at(length, offset)
+
+    def blocks(self, file: str, size: int) -> tuple[list, list]:
+        """An index file's directory, by its footer, and where its blocks start."""
+        if self.directory[0] != file:
+            begin, length = struct.unpack(FOOTER, self.range("index", file, size - FOOTER_BYTES, FOOTER_BYTES))
+            entries = unpacked_lines(self.range("index", file, begin, length))
+            self.directory = (file, entries, [place(e[0], e[1]) for e in entries])
+        return self.directory[1:]
+
+    def lines(self, file: str, offset: int, length: int) -> tuple[list, list]:
+        if self.block[0] != (file, offset):
+            rows = unpacked_lines(self.range("index", file, offset, length))
+            self.block = ((file, offset), rows, [place(r["key"], r["page_id"]) for r in rows])
+        return self.block[1:]
+
+    def between(self, low: tuple, high: tuple) -> Iterator[dict]:
+        """The captures from the place low up to the place high, both included, in the index's order."""
+        f = max(0, bisect.bisect_left(self.starts, low) - 1)
+        while f < len(self.roots) and self.starts[f] <= high:
+            _, _, file, size = self.roots[f]
+            entries, starts = self.blocks(file, size)
+            k = max(0, bisect.bisect_left(starts, low) - 1)
+            while k < len(entries) and starts[k] <= high:
+                rows, places = self.lines(file, entries[k][2], entries[k][3])
+                yield from rows[bisect.bisect_left(places, low) : bisect.bisect_right(places, high)]
+                k += 1
+            f += 1
+
+    def find(self, url: str) -> list[dict]:
+        """The captures of a URL."""
+        key = url_key(url)
+        return list(self.between((key, False, 0), (key, True, 1 << 63)))
+
+    def read(self, capture: dict) -> dict:
+        return parse(self.range("archive", capture["file"], capture["offset"], capture["length"]))
+
+
+def roots_of(directory: DataFrame) -> list[tuple]:
+    """One row an index file, as many as the index's writer had tasks."""
+    return [(r["first_key"], r["first_id"], r["file"], r["size"]) for r in directory.collect()]
+
+
+def look_up(wanted: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
+    """The captures of each (url, page_id) of wanted; of repeated ones each capture comes once."""
+    shared = wanted.sparkSession.sparkContext.broadcast(roots_of(directory))
 
     @K.lean
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, base = filesystem(f"{folder}/index")
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in batch.to_pylist():
-                lines = block_lines(read_range(files, f"{base}/{b['file']}", b["offset"], b["length"]))
-                yield captures([tuple(x[k] for k in ("key", "page_id", "url", "record_type", "digest", "file", "offset", "length")) for x in lines])
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in batch.column(0).to_pylist()], pa.string()), batch.column(1)], names=["key", "page_id"])
 
     @K.lean
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = CaptureIndex(folder, shared.value)
+        for batch in batches:
+            found = []
+            for key, page_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = place(key, page_id)
+                found += [tuple(x[k] for k in ("key", "page_id", "url", "record_type", "digest", "file", "offset", "length")) for x in index.between(at, at)]
+            yield captures(found)
+
+    keys = wanted.select(F.col("url").cast("string").alias("url"), F.col("page_id").cast("long").alias("page_id")).mapInArrow(keyed, "key string, page_id long").distinct()
+    return keys.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id").mapInArrow(run, CAPTURE)
+
+
+def read_records(found: DataFrame, folder: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of the records of these captures, by range reads.
+
+    Records go to tasks by ranges of (file, offset); a task reads READ_BYTES or so, and there are as many tasks as cores.
+    """
+    found = stored(found.select("file", "offset", "length"), "warc-found")
+    size = found.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(found.sparkSession.sparkContext.defaultParallelism, -(-size // READ_BYTES))
+
+    @K.lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = filesystem(f"{folder}/archive")
         name, f = None, None
         for batch in batches:
@@ -218,40 +322,19 @@ def read_all(directory: DataFrame, folder: str) -> DataFrame:
         if f is not None:
             f.close()
 
-    listed = directory.select("file", "offset", "length").mapInArrow(entries, CAPTURE).select("file", "offset", "length")
-    by_file = listed.repartition("file").sortWithinPartitions("file", "offset")
-    return by_file.mapInArrow(records, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-
-
-class CaptureIndex:
-    """Look-ups by URL: the sparse directory (one entry for BLOCK_LINES captures) is kept sorted in memory."""
-
-    def __init__(self, directory: DataFrame, folder: str):
-        self.folder = folder
-        self.blocks = sorted((r["first_key"], r["file"], r["offset"], r["length"]) for r in directory.collect())
-
-    def find(self, url: str) -> list[dict]:
-        """The captures of a URL, in the index's order."""
-        key = url_key(url)
-        files, base = filesystem(f"{self.folder}/index")
-        k = max(0, bisect.bisect_left(self.blocks, (key,)) - 1)
-        out: list[dict] = []
-        while k < len(self.blocks) and self.blocks[k][0] <= key:
-            _, file, offset, length = self.blocks[k]
-            lines = block_lines(read_range(files, f"{base}/{file}", offset, length))
-            keys = [x["key"] for x in lines]
-            out += lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
-            k += 1
-        return out
-
-    def read(self, capture: dict) -> dict:
-        files, base = filesystem(f"{self.folder}/archive")
-        return parse(read_range(files, f"{base}/{capture['file']}", capture["offset"], capture["length"]))
+    by_place = found.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
+    return by_place.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = new_path(spark, "warc")
-    return read_all(write_index(write_archives(table(spark, sf_dir, "pages"), folder), folder), folder)
+    """Write all pages into archives, index them, look every page up in the index and read its record back.
+
+    Null html is an empty payload; rows of one (page_id, url) are records of their own; a row without page_id is a
+    response; a null or broken url has an empty key; other columns are left out; no pages give no rows.
+    """
+    folder, pages = new_path(spark, "warc"), table(spark, sf_dir, "pages")
+    directory = write_index(write_archives(pages, folder), folder)
+    return read_records(look_up(pages.select("url", "page_id"), directory, folder), folder)
 
 
 #: The same without archives. Base32 of a SHA-1: each 5 of its 40 hex digits are 4 base32 digits.
