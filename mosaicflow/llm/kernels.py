@@ -15,9 +15,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Multipliers of the two polynomial hashes (any odd 64-bit numbers) and their mixer.
+#: Multipliers of the polynomial hashes (any odd 64-bit numbers) and their mixer.
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
+OTHER_BASE = 0xA0761D6478BD642F
 MIX_1, MIX_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 #: Bytes of text that one pass takes; a longer document is taken alone.
@@ -146,11 +147,11 @@ class Words:
         """The document of each word."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
+    def hashes(self, base: int = BYTE_BASE) -> np.ndarray:
+        """A 64-bit hash of each word's bytes; another base gives another hash."""
         if not len(self.starts):
             return np.zeros(0, dtype=np.uint64)
-        up, down = powers(BYTE_BASE, len(self.data))
+        up, down = powers(base, len(self.data))
         sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=sums[1:])
         return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])

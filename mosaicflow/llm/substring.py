@@ -2,18 +2,21 @@
 
 A fingerprint is the least of the 26 hashes of 25-word runs inside a window of 50 words; equal windows have equal
 fingerprints, and a document has about one for every 13 words. The index is a list of immutable runs, each a table of
-(hash, doc_id) sorted by hash. A new batch becomes a run and is grouped by hash with the runs before it; when there are
-more than `FANOUT` runs they are compacted into one. What the grouping finds is verified on whole windows: the documents
-with a common fingerprint are read again, the hashes of their 50-word windows under common fingerprints are sorted
-together, and every window but that of the smallest id is a repeat. An index that outlives a call also keeps the texts
-that it has taken in, for the windows of later rows are held against theirs.
-
-Python streams over sorted rows, so no group, however large, is held in memory.
+(hash, lo, hi), the smallest and largest id of the documents with that hash, bucketed and sorted by hash: a hash that a
+third of all documents have is one row. A new batch becomes a run and is merge-joined with each run before it, bucket by
+bucket, with no shuffle; when there are more than `FANOUT` runs they are compacted into one.
+
+Hashes that two documents have are verified on whole windows: the documents with such a fingerprint are read again, and
+of the 128-bit hashes of their 50-word windows under these fingerprints every one but that of the smallest id is a
+repeat. The least id of a window is found by counts combined before the shuffle, so that a passage which many documents
+have is not one task's. An index that outlives a call also keeps the texts and fingerprints that it has taken in, for the
+windows of later rows are held against theirs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -23,12 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import drop_stored, small_batches, stored, table
+from .common import drop_path, drop_stored, new_path, small_batches, stored, table
 
 WINDOW, GRAM = 50, 25
 REACH = WINDOW - GRAM + 1
 FANOUT = 4
-BATCHES = 2
+BATCHES = 6
 BITS = 26
 
 
@@ -36,6 +39,11 @@ def signed(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64))
 
 
+def other_hashes(words: K.Words, at: np.ndarray) -> np.ndarray:
+    """A second, independent hash of the windows that begin at these words."""
+    return K.grams(words.hashes(K.OTHER_BASE), WINDOW)[at] if len(at) else np.zeros(0, dtype=np.uint64)
+
+
 def windows(words: K.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word of every window inside a document, its fingerprint, its hash."""
     h = words.hashes()
@@ -76,44 +84,67 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of (hash, doc_id), and tables of the texts (doc_id, text) of earlier calls, in the shared folder."""
+    """Sorted immutable runs of (hash, lo, hi), and the texts and fingerprints of earlier calls, in the shared folder.
+
+    Rows without an id are never taken in. An empty batch makes an empty run. `buckets` stays as it is for the index's
+    life, so that all runs are cut alike; `close` deletes everything.
+    """
 
-    def __init__(self, spark: SparkSession):
-        self.spark, self.runs, self.texts = spark, [], []
+    def __init__(self, spark: SparkSession, buckets: int | None = None):
+        self.spark, self.runs, self.texts, self.prints = spark, [], [], []
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def write_run(self, rows: DataFrame) -> DataFrame:
-        return stored(rows.select("hash", "doc_id").repartition("hash").sortWithinPartitions("hash", "doc_id"), "fingerprint-run")
+    def write_run(self, rows: DataFrame) -> str:
+        """Write (hash, lo, hi), distinct hashes, as a run; the name of its table."""
+        name = f"fingerprint_run_{uuid.uuid4().hex}"
+        writer = rows.select("hash", "lo", "hi").write.format("parquet").bucketBy(self.buckets, "hash").sortBy("hash")
+        writer.option("path", new_path(self.spark, name)).saveAsTable(name)
+        return name
 
     def add(self, fresh: DataFrame) -> DataFrame:
-        """Take a batch (hash, doc_id) in; (hash, doc_id) of all rows, old and new, whose hash the batch shares with another document."""
-        run = self.write_run(fresh)
-        every = run.withColumn("new", F.lit(1))
-        for old in self.runs:
-            every = every.unionByName(old.withColumn("new", F.lit(0)))
-        common = every.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("new").alias("new")).filter("new = 1 and lo < hi").select("hash")
-        common = stored(common, "fingerprint-common")  # a table, so that the join below may split a hot hash
-        found = stored(every.drop("new").join(common, "hash"), "fingerprint-found")
-        drop_stored(common)
+        """Take a batch (hash, doc_id) in; a stored table of the hashes that it shares with another document, old or new."""
+        run = self.write_run(fresh.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")))
+        new = self.spark.table(run)
+        shared = new.filter("lo < hi").select("hash")
+        for name in self.runs:
+            old = self.spark.table(name).toDF("hash", "old_lo", "old_hi")
+            both = new.join(old.hint("merge"), "hash").filter(F.least("lo", "old_lo") < F.greatest("hi", "old_hi"))
+            shared = shared.unionByName(both.select("hash"))
+        shared = stored(shared, "fingerprint-shared")
         self.runs.append(run)
         if len(self.runs) > FANOUT:
             self.compact()
-        return found
+        return shared
 
     def compact(self) -> None:
         """Merge all runs into one."""
-        merged = self.runs[0]
-        for run in self.runs[1:]:
-            merged = merged.unionByName(run)
-        old, self.runs = self.runs, [self.write_run(merged)]
-        for run in old:
-            drop_stored(run)
-
-    def keep(self, docs: DataFrame) -> None:
-        """Take the texts of rows with an id in, for later calls; more than FANOUT tables become one."""
+        every = reduce(lambda a, b: a.unionByName(b), [self.spark.table(name) for name in self.runs])
+        old, self.runs = self.runs, [self.write_run(every.groupBy("hash").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))]
+        drop_runs(self.spark, old)
+
+    def keep(self, docs: DataFrame, rows: DataFrame) -> None:
+        """Take the texts and fingerprints of rows with an id in, for later calls; more than FANOUT tables become one."""
         self.texts.append(stored(docs.filter("doc_id is not null and text is not null"), "fingerprint-texts"))
-        if len(self.texts) > FANOUT:
-            old, self.texts = self.texts, [stored(reduce(lambda a, b: a.unionByName(b), self.texts), "fingerprint-texts")]
-            drop_stored(*old)
+        self.prints.append(stored(rows.filter("doc_id is not null").select("doc_id", "prints"), "fingerprint-prints"))
+        for kept in (self.texts, self.prints):
+            if len(kept) > FANOUT:
+                merged = stored(reduce(lambda a, b: a.unionByName(b), kept), "fingerprint-kept")
+                drop_stored(*kept)
+                kept[:] = [merged]
+
+    def close(self) -> None:
+        drop_runs(self.spark, self.runs)
+        drop_stored(*self.texts, *self.prints)
+        self.runs, self.texts, self.prints = [], [], []
+
+
+def drop_runs(spark: SparkSession, names: list[str]) -> None:
+    """Drop the tables of runs and delete their files."""
+    for name in names:
+        files = spark.table(name).inputFiles()
+        spark.sql(f"drop table {name}")
+        if files:
+            drop_path(spark, files[0].rsplit("/", 1)[0])
 
 
 def id_bitmap(ids: DataFrame, bits: int = BITS) -> np.ndarray:
@@ -143,7 +174,7 @@ def maybe(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def candidate_windows(docs: DataFrame) -> DataFrame:
-    """(w, doc_id): distinct hashes of each document's windows whose fingerprint is among its `prints`."""
+    """(w, x, doc_id): distinct 128-bit hashes of each document's windows whose fingerprint is among its `prints`."""
 
     @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,41 +187,33 @@ def candidate_windows(docs: DataFrame) -> DataFrame:
                 salt = K.mix(np.arange(1, j - i + 1, dtype=np.uint64))
                 wanted = wanted ^ salt[np.repeat(np.arange(j - i), np.diff(lists.offsets.to_numpy()))]
                 ok = np.isin(prints ^ salt[owner], wanted)
-                found, counts = per_document(hashes[ok], owner[ok], j - i)
-                yield pa.RecordBatch.from_arrays([signed(found), batch.column(0).slice(i, j - i).take(pa.array(np.repeat(np.arange(j - i), counts)))], names=["w", "doc_id"])
+                at, hashes, owner = at[ok], hashes[ok], owner[ok]
+                order = np.lexsort((hashes, owner))
+                at, hashes, owner = at[order], hashes[order], owner[order]
+                new = np.ones(len(at), dtype=bool)
+                new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+                yield pa.RecordBatch.from_arrays([signed(hashes[new]), signed(other_hashes(words, at[new])), batch.column(0).slice(i, j - i).take(pa.array(owner[new]))], names=["w", "x", "doc_id"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", "prints").mapInArrow(run, f"w long, doc_id {kind}")
+    return docs.select("doc_id", "text", "prints").mapInArrow(run, f"w long, x long, doc_id {kind}")
 
 
 def repeats(rows: DataFrame) -> DataFrame:
-    """Of (w, doc_id) those whose w also has a smaller doc_id: one shuffle, one sort, one streaming pass."""
-
-    @K.lean
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, first = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            w, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            head = np.ones(len(w), dtype=bool)
-            head[1:] = w[1:] != w[:-1]
-            head[0] = last is None or w[0] != last
-            group = np.cumsum(head)
-            lows = np.concatenate(([ids[0] if first is None else first], ids[head]))
-            low = lows[group]
-            keep = pa.array(ids > low)
-            last, first = w[-1], low[-1]
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["w", "doc_id"])
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.repartition("w").sortWithinPartitions("w", "doc_id").mapInArrow(run, f"w long, doc_id {kind}")
+    """(w, doc_id) of those of (w, x, doc_id) whose window also has a smaller doc_id."""
+    lows = rows.groupBy("w", "x").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
+    return rows.join(lows, ["w", "x"]).filter("doc_id > lo").select("w", "doc_id")
 
 
 def repeats_of_old(rows: DataFrame, old: DataFrame) -> DataFrame:
-    """Of (w, doc_id) those whose w another doc_id has in old."""
-    seen = old.groupBy("w").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    return rows.join(seen, "w").filter("lo <> doc_id or hi <> doc_id").select("w", "doc_id")
+    """(w, doc_id) of those of (w, x, doc_id) whose window another doc_id has in old."""
+    seen = old.groupBy("w", "x").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    return rows.join(seen, ["w", "x"]).filter("lo <> doc_id or hi <> doc_id").select("w", "doc_id")
+
+
+def flagged_by(prints: DataFrame, shared: DataFrame) -> DataFrame:
+    """(doc_id, prints): documents of (doc_id, prints) with those of their fingerprints that are shared, stored."""
+    met = prints.select("doc_id", F.explode("prints").alias("hash")).join(shared, "hash")
+    return stored(met.groupBy("doc_id").agg(F.collect_set("hash").alias("prints")), "substring-flagged")
 
 
 def cut(docs: DataFrame, with_text: bool) -> DataFrame:
@@ -237,31 +260,34 @@ def dedup_substrings(docs: DataFrame, batches: int = BATCHES, index: Fingerprint
     small_batches(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = stored(scan(docs), "substring-scan")
-    prints = rows.filter("doc_id is not null").select("doc_id", F.explode("prints").alias("hash"))
+    known = rows.filter("doc_id is not null").select("doc_id", "prints")
+    prints = known.select("doc_id", F.explode("prints").alias("hash"))
     own = index is None
     index = index or FingerprintIndex(spark)
     found = [index.add(prints.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == b)) for b in range(batches)]
-    flagged = stored(reduce(lambda a, b: a.unionByName(b), found).groupBy("doc_id").agg(F.collect_set("hash").alias("prints")), "substring-flagged")
-    drop_stored(*found, *(index.runs if own else []))
-    bits = id_bitmap(flagged)
-    again = stored(maybe(docs, bits).join(flagged, "doc_id"), "substring-again")
-    twice = candidate_windows(again)
+    shared = stored(reduce(lambda a, b: a.unionByName(b), found).distinct(), "substring-shared")
+    drop_stored(*found)
+    flagged = flagged_by(known, shared)
+    again = stored(maybe(docs, id_bitmap(flagged)).join(flagged, "doc_id"), "substring-again")
+    twice = stored(candidate_windows(again), "substring-windows")
+    repeated = repeats(twice)
     if index.texts:
-        twice = stored(twice, "substring-windows")
-        old = candidate_windows(maybe(reduce(lambda a, b: a.unionByName(b), index.texts), bits).join(flagged, "doc_id"))
-        found = repeats(twice).unionByName(repeats_of_old(twice, old)).distinct()
+        earlier = flagged_by(reduce(lambda a, b: a.unionByName(b), index.prints), shared)
+        old = candidate_windows(maybe(reduce(lambda a, b: a.unionByName(b), index.texts), id_bitmap(earlier)).join(earlier, "doc_id"))
+        repeated = repeated.unionByName(repeats_of_old(twice, old)).distinct()
+    bad = stored(repeated.groupBy("doc_id").agg(F.collect_list("w").alias("ws")), "substring-repeats")
+    drop_stored(flagged, shared, twice)
+    if own:
+        index.close()
     else:
-        found = repeats(twice)
-    bad = stored(found.groupBy("doc_id").agg(F.collect_list("w").alias("ws")), "substring-repeats")
-    drop_stored(flagged, *([twice] if index.texts else []))
-    if not own:
-        index.keep(docs)
+        index.keep(docs, rows)
     changed = cut(again.drop("prints").join(bad, "doc_id"), False)
     same = rows.join(bad.select("doc_id"), "doc_id", "left_anti").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole_sha256").alias("kept_sha256"))
     return same.unionByName(changed)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 50-word windows of all documents, taken into an index in BATCHES batches; see dedup_substrings for edges."""
     return dedup_substrings(table(spark, sf_dir, "documents"))
 
 
