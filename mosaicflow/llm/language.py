@@ -19,9 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from . import kernels as K
-from .common import small_batches, table
+from .common import small_batches, table, unused
 
 ORDERS, BUCKETS = (1, 2, 3), 1 << 16
 PER_LANGUAGE, EPOCHS = 1000, 3
@@ -154,7 +156,8 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """A model of training (doc_id, text, lang; none of them null); None where there are no rows.
 
-    To the driver come: one count a language, one vector of document frequencies, and the bounded sample.
+    To the driver come: one count a language, one vector of document frequencies, and the sample, per_language rows a
+    language at most (the least by a hash of the id; ties by id and text). A language of few rows is learned from these.
     """
     spark = training.sparkSession
     small_batches(spark)
@@ -181,11 +184,12 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     n[found["bucket"].to_numpy()] = found["n"].to_numpy()
     idf = np.log((1 + n[-1]) / (1 + n[:-1])) + 1.0
 
-    share = F.lit(0.0)
-    for lang, have in counts.items():
-        share = F.when(F.col("lang") == F.lit(lang), F.lit(min(1.0, per_language / have))).otherwise(share)
+    # twice the share that is wanted, by a hash of the id, and of these in the order of the hash exactly the bound
+    shares_of = spark.createDataFrame([(lang, min(1.0, 2.0 * per_language / have)) for lang, have in counts.items()], "lang string, share double")
     uniform = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    sample = training.filter(uniform < share).select("doc_id", "text", "lang", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(23)), F.lit(5)).alias("part")).limit(2 * per_language * len(languages)).toPandas().sort_values(["doc_id", "text", "lang"])
+    some = training.join(F.broadcast(shares_of), "lang").withColumn("uniform", uniform).filter("uniform <= share")
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("uniform", "doc_id", "text"))).filter(F.col("rank") <= per_language)
+    sample = ranked.select("doc_id", "text", "lang", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(23)), F.lit(5)).alias("part")).toPandas().sort_values(["doc_id", "text", "lang"])
     labels = sample["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
     rows = [(at, s * idf[at] * SCALE) for at, s in shares(sample["text"].tolist())]
     apart = sample["part"].to_numpy() == 0
@@ -198,12 +202,17 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str], prefix: str = "") -> DataFrame:
-    """The kept columns, lang_pred and score (after the prefix) of each row; `und` and 0 where the text is null, has no letter, or no model is there."""
+    """The kept columns, lang_pred and score (after the prefix) of each row; `und` and 0 where the text is null, has no letter, or no model is there.
+
+    Repeated rows and rows without id are told like all others; columns of any name may be kept but those given out.
+    """
     small_batches(docs.sparkSession)
-    kept = docs.select(*[F.col(c) for c in keep], F.col("text").alias("text__"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter__"))
+    text, letter = unused(docs, "whole_text", "letter")
+    kept = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias(text), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(letter))
     if model is None:
         return kept.select(*keep, F.lit(UNKNOWN).alias(prefix + "lang_pred"), F.lit(0.0).alias(prefix + "score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages floats, whatever the corpus
+    out = T.StructType([*kept.select(*keep).schema, T.StructField(prefix + "lang_pred", T.StringType()), T.StructField(prefix + "score", T.DoubleType())])
 
     @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,10 +223,9 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], prefix: str =
             best = p.argmax(axis=1)
             lang = [m.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters.tolist(), strict=True)]
             score = np.where(letters, p[np.arange(len(best)), best], 0.0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(lang, pa.string()), pa.array(score)], names=[*keep, prefix + "lang_pred", prefix + "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(lang, pa.string()), pa.array(score)], names=out.names)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keep)
-    return kept.mapInArrow(run, f"{fields}, {prefix}lang_pred string, {prefix}score double")
+    return kept.mapInArrow(run, out)
 
 
 def held_out():  # noqa: ANN201
@@ -230,6 +238,7 @@ def train_rows(docs: DataFrame) -> DataFrame:
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from rows that are not held out; see predict for null and empty texts."""
     docs = table(spark, sf_dir, "documents")
     marked = docs.select("doc_id", "text", held_out().alias("held_out"))
     return predict(marked, fit(train_rows(docs)), ["doc_id", "held_out"])
