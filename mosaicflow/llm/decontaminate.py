@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import kernels as K
-from .common import small_batches, stored, table
+from .common import small_batches, stored, table, unused
 
 WINDOW, GRAM = 13, 5
 REACH = WINDOW - GRAM
@@ -97,8 +98,8 @@ def bitmap(index: DataFrame, bits: int = BITS) -> np.ndarray:
     return out
 
 
-def scan(docs: DataFrame, bits: np.ndarray, short: list[int], keep: list[str]) -> DataFrame:
-    """The kept columns, n_words, and the hits (fingerprints that the bitmap lets through) of each document."""
+def scan(docs: DataFrame, bits: np.ndarray, short: list[int], keep: list[str], names: list[str]) -> DataFrame:
+    """The kept columns, n_words, and the hits (fingerprints that the bitmap lets through) of each document, under these names."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # 2**BITS / 8 bytes whatever the benchmark
     shift = np.uint64(64 - (len(bits) * 8).bit_length() + 1)
 
@@ -121,11 +122,12 @@ def scan(docs: DataFrame, bits: np.ndarray, short: list[int], keep: list[str]) -
                             if hits[i + d] is None:
                                 hits[i + d] = []
                             hits[i + d].append(_hit(words, d, p, x, n))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(counts), pa.array(hits, pa.list_(_HIT))], names=[*keep, "n_words", "hits"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(counts), pa.array(hits, pa.list_(_HIT))], names=[*keep, *names])
 
-    kept = docs.select(*keep, F.col("text").cast("string").alias("text__"))
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema if f.name in keep)
-    return kept.mapInArrow(run, fields + "n_words long, hits array<struct<hash: long, at: long, gram: string, before: array<string>, after: array<string>>>")
+    (text,) = unused(docs, "whole_text")
+    kept = docs.select(*keep, F.col("text").cast("string").alias(text))
+    hit = T._parse_datatype_string("n_words long, hits array<struct<hash: long, at: long, gram: string, before: array<string>, after: array<string>>>")
+    return kept.mapInArrow(run, T.StructType([*docs.select(*keep).schema, *[T.StructField(n, f.dataType) for n, f in zip(names, hit, strict=True)]]))
 
 
 def _common(a: str, b: str) -> Column:
@@ -139,32 +141,37 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> Dat
 
     n_hit: words inside any occurrence of an item's window; n_items: items with such a window; contaminated: n_hit > 0
     and 20 n_hit >= n_words. Null and empty texts have no words and no hits; items without words or id never hit;
-    repeated items count once by id; every row of docs stands for itself, and an empty table on either side is allowed.
+    repeated items count once by id; every row of docs stands for itself, whatever its id; columns of any name may be
+    kept; an empty table on either side is allowed.
     """
     small_batches(docs.sparkSession)
     index = stored(benchmark_index(benchmark), "decontaminate-index")
     short = sorted(r[0] for r in index.filter("short > 0").select("short").distinct().collect())  # lengths below a window
-    rows = stored(scan(docs.withColumn("rid__", F.monotonically_increasing_id()), bitmap(index), short, [*keep, "rid__"]), "decontaminate-scan")
-    d = rows.filter("hits is not null").select("rid__", F.explode("hits").alias("d"))
-    d = d.select("rid__", *[F.col(f"d.{x}").alias(f"d_{x}") for x in ("hash", "at", "gram", "before", "after")])
+    row, words, hits = unused(docs, "row_number", "n_words", "hits")
+    rows = stored(scan(docs.withColumn(row, F.monotonically_increasing_id()), bitmap(index), short, [*keep, row], [words, hits]), "decontaminate-scan")
+    d = rows.filter(F.col(hits).isNotNull()).select(F.col(row).alias("rid"), F.explode(hits).alias("d"))
+    d = d.select("rid", *[F.col(f"d.{x}").alias(f"d_{x}") for x in ("hash", "at", "gram", "before", "after")])
     both = d.join(index, (F.col("d_hash") == F.col("hash")) & (F.col("d_gram") == F.col("gram")))
     both = both.withColumn("l", _common("d_before", "before")).withColumn("r", _common("d_after", "after"))
     size = F.when(F.col("short") > 0, F.col("short")).otherwise(F.lit(GRAM))
     spans = both.filter((F.col("short") > 0) | (F.col("l") + F.col("r") >= REACH)).select(
-        "rid__", "item_id", F.struct((F.col("d_at") - F.col("l")).alias("a"), (F.col("d_at") + size + F.col("r")).alias("b")).alias("span")
+        "rid", "item_id", F.struct((F.col("d_at") - F.col("l")).alias("a"), (F.col("d_at") + size + F.col("r")).alias("b")).alias("span")
     )
     covered = F.expr("aggregate(sort_array(spans), named_struct('n', 0L, 'e', 0L), (s, x) -> named_struct('n', s.n + greatest(0L, x.b - greatest(x.a, s.e)), 'e', greatest(s.e, x.b)), s -> s.n)")
-    found = spans.groupBy("rid__").agg(F.collect_set("span").alias("spans"), F.sort_array(F.collect_set("item_id")).alias("items"))
-    found = found.select(F.col("rid__").alias("rid_"), covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items"))
-    out = rows.drop("hits").join(found, F.col("rid__") == F.col("rid_"), "left")
-    n_hit = F.coalesce("n_hit", F.lit(0))
+    found = spans.groupBy("rid").agg(F.collect_set("span").alias("spans"), F.sort_array(F.collect_set("item_id")).alias("items"))
+    found = found.select(F.struct(covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items")).alias("found"), F.col("rid"))
+    # one struct on each side, so that no name of a kept column can clash
+    left = rows.select(F.struct(*keep).alias("kept") if keep else F.struct(F.col(row)).alias("kept"), F.col(words).alias("n_words"), F.col(row).alias("rid"))
+    out = left.join(found, "rid", "left")
+    n_hit = F.coalesce("found.n_hit", F.lit(0))
     return out.select(
-        *keep, "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
-        F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+        *[F.col("kept")[c].alias(c) for c in keep], "n_words", n_hit.alias("n_hit"), F.coalesce("found.n_items", F.lit(0)).alias("n_items"),
+        F.sha2(F.coalesce("found.items", F.lit("")), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contamination of all documents by all benchmark items; see contamination for nulls, repeats and empty tables."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 

@@ -283,6 +283,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among all documents by 2-word shingles; see near_duplicates for nulls, ties and repeats."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 

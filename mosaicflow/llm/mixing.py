@@ -22,10 +22,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import kernels as K
-from .common import small_batches, stored, table
+from .common import small_batches, stored, table, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_WORDS, SHARD_SLOTS, BUCKETS, SEED = 64, 4096, 1024, 20240
+BLOCK_WORDS, SHARD_SLOTS, SEED = 64, 4096, 20240
+#: Buckets of a source's running sums: so many, or more where a bucket would have more than BUCKET_ROWS rows.
+BUCKETS, BUCKET_ROWS = 1024, 1 << 16
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 #: Sources up to this many are broadcast to the documents; beyond, they are joined by a shuffle.
 BROADCAST_SOURCES = 10_000
@@ -101,15 +103,17 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
     documents: rid, doc_id, size, source_size, target. spans: shard, slot, sid, block, epoch, rid, w0, w1: the words
     w0 to w1 (not included) of row rid stand in this slot of this output shard. Null or empty texts have no words and
     are in no slot; repeated rows are rows of their own; with no rows both are empty. Documents stand in their source
-    by a hash of their id, so running sums go bucket by bucket, and one source of any size is dealt over all tasks.
+    by a hash of their id (of rid, where that is null), so running sums go bucket by bucket, with more buckets for more
+    rows, and one source of any size is dealt over all tasks.
     """
     spark = docs.sparkSession
     plan = source_plan(docs, block_words)
+    buckets = max(BUCKETS, -(-docs.count() // BUCKET_ROWS))
     schema = "sid int, source string, source_size long, target double, blocks long, quota long"
     sources = spark.createDataFrame([tuple(p.values()) for p in plan], schema)
     if len(plan) <= BROADCAST_SOURCES:
         sources = F.broadcast(sources)
-    named = docs.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)))
+    named = docs.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).withColumn("bucket", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), "rid"))), F.lit(buckets)))
     documents = named.select("rid", "doc_id", "size", "source_size", "target")
 
     in_bucket = named.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
@@ -166,16 +170,18 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix with their columns: text is the words the mix takes, epoch behind epoch, in their order.
 
     A document that the mix takes once and whole keeps its text; of one taken in part each run of neighbouring words
-    keeps its text, runs joined by a line feed; one not taken at all goes. n_chars, where there is one, follows.
+    keeps its text, runs joined by a line feed; one not taken at all goes, so null and empty texts go. n_chars, where
+    there is one, follows. Rows stand for themselves whatever their ids; an empty table stays empty.
     """
     spark = docs.sparkSession
     small_batches(spark)
     names = docs.columns
-    own = stored(docs.withColumn("rid__", F.monotonically_increasing_id()), "mix-docs")
-    base = sized(own, F.col("rid__"))
+    row, taken = unused(docs, "row_number", "spans")
+    own = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
+    base = sized(own, F.col(row))
     _, spans = mix(base)
-    runs = spans.groupBy(F.col("rid").alias("rid__")).agg(F.sort_array(F.collect_list(F.struct("epoch", "w0", "w1"))).alias("spans__"))
-    both = own.join(runs, "rid__").select(*names, "spans__")
+    runs = spans.groupBy(F.col("rid").alias(row)).agg(F.sort_array(F.collect_list(F.struct("epoch", "w0", "w1"))).alias(taken))
+    both = own.join(runs, row).select(*names, taken)
 
     @K.lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,6 +216,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix of all documents takes of each; see mix for null sources, null and empty texts, and repeated rows."""
     documents, spans = mix(sized(table(spark, sf_dir, "documents")))
     taken = spans.groupBy("rid").agg(F.sum(F.col("w1") - F.col("w0")).alias("taken"))
     return documents.join(taken, "rid", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))

@@ -26,7 +26,11 @@ END_ID = 2
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, tokens (array of int) of each row, in the order of the rows; end_id goes behind each document's ids."""
+    """doc_id, n_tokens, tokens (array of int) of each row, in the order of the rows; end_id goes behind each document's ids.
+
+    Null and empty texts have no ids of their own, so only the end id where there is one; repeated rows and rows without
+    id are encoded each; other columns are left out; no rows give none.
+    """
     small_batches(docs.sparkSession)
 
     @K.lean
@@ -70,6 +74,7 @@ def read_tokens(spark: SparkSession, path: str, id_type: T.DataType | None = Non
 def token_digest(spark: SparkSession, path: str, id_type: T.DataType | None = None) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each written document, all from the files.
 
+    Rows of one id follow each other in the files' order, rows without id come first; a folder without rows gives none.
     start: files hold ranges of ids, so a file starts behind all ids of the files of smaller ids; inside a file a
     running sum goes in row order. The sum over files has one row a file, no more.
     """
@@ -94,6 +99,7 @@ def token_digest(spark: SparkSession, path: str, id_type: T.DataType | None = No
 
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the token ids of all documents and read them back; see encode_documents and token_digest for edges."""
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")

@@ -28,7 +28,7 @@ from .common import small_batches
 
 #: Characters at a chunk's end whose words a cut may have changed; longer than any look-ahead and any special token.
 GUARD = 64
-#: A document longer than this (in characters) goes by overlapping chunks.
+#: A document longer than this (in bytes of UTF-8) goes by overlapping chunks.
 HUGE = 32_768
 CHUNK, OVERLAP = 16_384, 256
 #: Bytes of text whose distinct pieces are looked up at once.
@@ -236,6 +236,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents; see token_counts for null and empty texts and repeated rows."""
     import public_tokenizers
 
     from .common import table
