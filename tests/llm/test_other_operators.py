@@ -85,26 +85,43 @@ def test_language_edges(spark):
     assert none is None and {r.lang_pred for r in language.predict(docs, none, ["doc_id"]).collect()} == {"und"}
 
 
-def test_archives(spark):
-    rows = [(5, "http://www.b.example/x?y=1", "same"), (3, "https://b.example/x?y=1", "same"), (9, None, None), (2, "http://a.example/ñ z", ""), (7, "::bad[", "é" * 5000), (3, "http://c.example", "same"), (None, "http://d.example", "same")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+@pytest.mark.parametrize(("lines_", "roll"), [(1000, 1 << 30), (2, 300)])
+def test_archives(spark, monkeypatch, lines_, roll):
+    monkeypatch.setattr(warc, "BLOCK_LINES", lines_)
+    monkeypatch.setattr(warc, "ROLL_BYTES", roll)
+    rows = [(5, "http://www.b.example/x?y=1", "same"), (3, "https://b.example/x?y=1", "same"), (9, None, None), (2, "http://a.example/ñ z", ""), (7, "::bad[", "é" * 500_000), (3, "http://c.example", "same"), (None, "http://d.example", "same"), (4, "http://b.example/x?y=1", "x"), (4, "http://b.example/x?y=1", "x"), (None, None, None)]
+    pages = spark.createDataFrame([(*x, "k", "s") for x in rows], "page_id long, url string, html string, key string, sha string").repartition(2)
     folder = new_path(spark, "warc-test")
-    directory = warc.write_index(warc.write_archives(pages, folder), folder)
-    got = sorted((r.page_id or 0, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_all(directory, folder).collect())
+    captures = warc.write_archives(pages, folder)
+    directory = warc.write_index(captures, folder)
+    got = [(r.page_id or 0, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_records(warc.look_up(pages.select("url", "page_id"), directory, folder), folder).collect()]
     want = []
     for page, _, html in rows:
         p = (html or "").encode()
-        first = min(x[0] for x in rows if (x[2] or "") == (html or "") and x[0] is not None)
+        first = min((x[0] for x in rows if (x[2] or "") == (html or "") and x[0] is not None), default=None)
         same = page is None or page == first
         want.append((page or 0, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), "response" if same else "revisit", None if same else first))
     assert sorted(got, key=str) == sorted(want, key=str)
-    index = warc.CaptureIndex(directory, folder)
-    assert sorted(c["page_id"] for c in index.find("https://b.example/x?y=1")) == [3, 5]
+    if roll < 1000:
+        assert captures.select("file").distinct().count() > 4
+    index = warc.CaptureIndex.of(directory, folder)
+    assert sorted(c["page_id"] for c in index.find("https://b.example/x?y=1")) == [3, 4, 4, 5]
     assert index.read(index.find("http://a.example/ñ z")[0])["page_id"] == 2
     assert index.find("http://nowhere.example") == []
     assert warc.url_key("http://www.Blog.example.com:80/a?b#c") == "com,example,blog)/a?b"
     empty = new_path(spark, "warc-none")
-    assert warc.read_all(warc.write_index(warc.write_archives(pages.limit(0), empty), empty), empty).count() == 0
+    none = warc.write_index(warc.write_archives(pages.limit(0), empty), empty)
+    assert warc.read_records(warc.look_up(pages.select("url", "page_id"), none, empty), empty).count() == 0
+    assert warc.read_records(warc.look_up(pages.select("url", "page_id").limit(0), directory, folder), folder).count() == 0
+
+
+def test_a_look_up_reads_one_block_of_many(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 10)
+    pages = spark.range(2000).selectExpr("id as page_id", "concat('http://h', lpad(id, 5, '0'), '.example/') as url", "cast(id as string) as html")
+    folder = new_path(spark, "warc-many")
+    index = warc.CaptureIndex.of(warc.write_index(warc.write_archives(pages, folder), folder), folder)
+    assert [c["page_id"] for c in index.find("http://h01234.example/")] == [1234]
+    assert index.reads <= 2 * 3  # a footer, a directory and a block; at a file's edge those of its neighbour
 
 
 def vectors():
@@ -115,9 +132,10 @@ def vectors():
     return rows + [(400, None), (401, []), (402, [0.0] * 64), (403, [None] + [1.0] * 63), (404, [float("nan")] + [1.0] * 63), (405, [1.0, 2.0]), (406, [float("inf")] * 64)]
 
 
-@pytest.mark.parametrize("block", [1024, 4])
-def test_embeddings_against_all_pairs(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "few"), [(512, 512), (4, 20), (512, 20)])
+def test_embeddings_against_all_pairs(spark, monkeypatch, block, few):
     monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "FEW", few)
     rows = vectors()
     got = {r.vec_id: r for r in embeddings.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)).collect()}
     good = [(i, v) for i, v in rows if i < 400]
@@ -135,22 +153,115 @@ def test_embeddings_against_all_pairs(spark, monkeypatch, block):
     assert embeddings.embedding_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_pipeline_stages(spark):
-    import corpus_pipeline
-
-    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 300")
-    names = docs.columns
-    seen = {r.doc_id for r in docs.collect()}
-    for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, docs, SF)
-        path = new_path(spark, "pipeline-test")
-        out.write.parquet(path)
-        docs = spark.read.parquet(path)
-        ids = [r.doc_id for r in docs.select("doc_id").collect()]
-        assert len(ids) == len(set(ids)) and set(ids) <= seen
-        if name != corpus_pipeline.STAGES[-1][0]:
-            assert docs.columns == names
-        if name == "language ID":
-            assert len(ids) > 0.97 * len(seen)
-        seen = set(ids)
-    assert json.dumps(sorted(docs.columns)) == '["doc_id", "ids_crc32", "n_tokens", "start"]'
+def test_embeddings_of_any_length_scale_and_id(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-200, 1e-200]), (4, [1e-200, 1.01e-200]), (5, [1.0, 0.0, 0.0]), (6, [1.0, 0.01, 0.0]), (7, [0.0, 1.0, 0.0])]
+    rows += [(8, [0.0, 0.0, 1.0, 0.0]), (8, [0.0, 0.0, 1.0, 0.0]), (8, [1.0, 0.0, 0.0, 0.0]), (None, [1.0, 0.0, 0.0, 0.0]), (9, [1.0, 0.0, 0.0, 0.01])]
+    df = spark.createDataFrame([(*x, "n", 1, "c") for x in rows], "vec_id long, embedding array<double>, node string, size int, code string")
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in embeddings.embedding_links(df).collect())
+    assert got == [(0, 0, 0, True), (1, 3, 1, True), (2, 3, 1, False), (3, 3, 1, False), (4, 3, 1, False), (5, 1, 5, True), (6, 1, 5, False), (7, 0, 7, True), (8, 1, 8, True), (8, 1, 8, True), (8, 1, 8, True), (9, 1, 8, False)]
+
+
+def test_hamming_retrieval_prunes_chance_neighbours(spark):
+    """Vectors that have nothing to do with each other: hardly any goes on to the comparison of vectors."""
+    r = np.random.default_rng(3)
+    x = embeddings.unit(r.standard_normal((3000, 64)))
+    how = embeddings.fit_codes(x, len(x), 0.95)
+    codes = how.code(x)
+    near = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= how.radius
+    assert near.sum() - len(x) < 0.02 * len(x)
+    differ = codes ^ how.code(embeddings.partners(x, 0.95))
+    met = (np.bitwise_count(differ) <= how.radius) & np.any([(differ & p) == 0 for p in how.packs], axis=0)
+    assert met.mean() >= 0.95
+
+
+def test_language_against_plain_loops(spark):
+    """Features, the leader's weights and the temperature, once more with dictionaries and a fine grid."""
+    import math
+
+    words = {"en": ["the cat sat", "a dog and the cat", "this is the end"], "fr": ["le chat est la", "un chien et le chat", "c'est la fin"], "de": ["der hund und die katze", "das ist das ende"]}
+    texts_ = [(t + " " + u, k) for k, (lang, own) in enumerate(sorted(words.items())) for t in own for u in own]
+    labels = np.array([k for _, k in texts_])
+
+    def bucket(gram):
+        k = len(gram) - 1
+        h = (97 * len(gram) + 1) % 2**32
+        for p, c in enumerate(gram):
+            h = ((h ^ ord(c)) * int(language._MULTIPLIERS[k + p])) % 2**32
+            h ^= h >> 15
+        return h >> 16
+
+    feats = []
+    for t, _ in texts_:
+        grams = [t[i : i + n].lower() for n in (1, 2, 3) for i in range(len(t) - n + 1)]
+        f = {}
+        for g in grams:
+            f[bucket(g)] = f.get(bucket(g), 0.0) + 1.0 / len(grams)
+        feats.append(f)
+    for f, (at, share) in zip(feats, language.shares([t for t, _ in texts_]), strict=True):
+        assert dict(zip(at.tolist(), share.tolist(), strict=True)) == pytest.approx(f)
+    rows = [(np.array(sorted(f)), np.array([f[b] * 20 for b in sorted(f)])) for f in feats]
+    got, bias = language.fit_ftrl(rows, labels, 3)
+    z, n, last = {}, {}, language.BUCKETS
+
+    def weight(key):
+        if abs(z.get(key, 0.0)) <= language.L1:
+            return 0.0
+        return -(z[key] - math.copysign(language.L1, z[key])) / ((language.BETA + math.sqrt(n[key])) / language.ALPHA + language.L2)
+
+    order = np.arange(len(rows))
+    for epoch in range(language.EPOCHS):
+        np.random.Generator(np.random.Philox(key=[7, epoch])).shuffle(order)
+        for k in order.tolist():
+            x = {**{b: v * 20 for b, v in feats[k].items()}, last: 1.0}
+            w = {(b, c): weight((b, c)) for b in x for c in range(3)}
+            logits = [sum(x[b] * w[b, c] for b in x) for c in range(3)]
+            top = max(logits)
+            total = sum(math.exp(v - top) for v in logits)
+            for c in range(3):
+                miss = math.exp(logits[c] - top) / total - (labels[k] == c)
+                for b in x:
+                    g, have = x[b] * miss, n.get((b, c), 0.0)
+                    z[b, c] = z.get((b, c), 0.0) + g - (math.sqrt(have + g * g) - math.sqrt(have)) / language.ALPHA * w[b, c]
+                    n[b, c] = have + g * g
+    for b in {b for f in feats for b in f} | {last}:
+        for c in range(3):
+            assert (bias[c] if b == last else got[b, c]) == pytest.approx(weight((b, c)), abs=1e-9)
+    assert (got == 0).mean() > 0.9
+    logits = np.array([x @ got[at] + bias for at, x in rows])
+    wrong = np.where(np.arange(len(labels)) % 5 == 0, (labels + 1) % 3, labels)  # so that the best factor is a finite one
+    loss = lambda f: -np.log(language.softmax(logits * f)[np.arange(len(wrong)), wrong] + 1e-12).mean()
+    best = min(np.exp(np.linspace(-3, 3, 6001)), key=loss)
+    assert language.fit_temperature(logits, wrong) == pytest.approx(best, rel=2e-3)
+    assert language.fit_temperature(logits[:0], wrong[:0]) == 1.0
+
+
+def test_language_sample_is_bounded_and_the_same_again(spark):
+    rows = [(7, f"the {i}", "en") for i in range(40)] + [(i, f"le {i}", "fr") for i in range(40)] + [(99, "das", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one = language.fit(docs, per_language=10)
+    two = language.fit(docs.repartition(7), per_language=10)
+    assert one.languages == ["de", "en", "fr"] and np.array_equal(one.weights, two.weights) and np.array_equal(one.bias, two.bias)
+
+
+def test_language_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "the cat", "en", "x", None)], "doc_id long, text string, whole_text string, letter string, score string")
+    got = language.predict(docs, language.fit(docs.select("doc_id", "text", docs.whole_text.alias("lang"))), ["doc_id", "whole_text", "letter", "score"], prefix="p_")
+    assert got.columns == ["doc_id", "whole_text", "letter", "score", "p_lang_pred", "p_score"]
+    assert got.first().letter == "x"
+
+
+def test_rows_without_ids_or_with_repeated_ones(spark):
+    rows = [(None, "two words"), (None, "some more words here"), (4, "again"), (4, "and again"), (1, None)]
+    docs = spark.createDataFrame([(*x, "t") for x in rows], "doc_id long, text string, tokens string")
+    path = public.path("word_bpe_49k.json")
+    words = tokens.load_tokenizer(path)
+    want = sorted((d or 0, len(words.encode(t or "", add_special_tokens=False).ids) + 1) for d, t in rows)
+    got = token_digest(spark, write_tokens(docs, new_path(spark, "tokens-ids"), path)).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == want
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    assert [r.doc_id or 0 for r in sorted(got, key=lambda r: r.start)] == sorted(d or 0 for d, _ in rows)
+    counted = tokens.token_counts(docs, public.path("byte_bpe_50k.json")).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes) for r in counted) == sorted((d or 0, len(t or "")) for d, t in rows)

@@ -157,7 +157,25 @@ def test_substring_against_rows_of_earlier_calls(spark, rows):
             earlier[x] |= ids
         lost = {d: r.n_removed for d, r in got.items()}
     assert lost == {-2: 55, 902: 0}
-    assert len(index.runs) <= substring.FANOUT
+    assert 0 < len(index.runs) <= substring.FANOUT
+    index.close()
+
+
+def test_substring_query_compacts_its_runs(spark, docs, monkeypatch):
+    done = []
+    real = substring.FingerprintIndex.compact
+    monkeypatch.setattr(substring.FingerprintIndex, "compact", lambda self: (done.append(len(self.runs)), real(self)))
+    substring.dedup_substrings(docs)
+    assert done == [substring.FANOUT + 1]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("fingerprint_run")]
+
+
+def test_runs_are_joined_without_a_shuffle(spark):
+    index = substring.FingerprintIndex(spark)
+    runs = [spark.table(index.write_run(spark.range(1000).selectExpr("id * 7 as hash", "id as lo", "id as hi"))) for _ in range(2)]
+    both = runs[0].join(runs[1].toDF("hash", "a", "b").hint("merge"), "hash")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
 def test_decontamination_against_all_windows(spark, docs, rows):
@@ -198,33 +216,38 @@ def distance(a, b):
     return row[-1]
 
 
-def test_lines_against_all_pairs(spark, rows):
+BLANKS = " \t\x0b\f\r"
+
+
+@pytest.mark.parametrize("hot", [64, 1])
+def test_lines_against_all_pairs(spark, monkeypatch, hot):
+    monkeypatch.setattr(lines, "HOT", hot)
     r = random.Random(5)
-    base = ["".join(r.choice("abé ") for _ in range(r.randint(14, 24))) for _ in range(12)]
-    texts = [None, "", "\n\n", "short", "shorx\nshort"]
+    base = ["".join(r.choice("abé ") for _ in range(r.randint(1, 24))) for _ in range(24)]
+    texts = [None, "", "\n\n", "\t\t", "\r", "short", "shorx\nshort", "x" * 30_000 + "y", "x" * 30_000]
     for _ in range(25):
         own = []
         for _ in range(r.randint(1, 6)):
             line = r.choice(base)
             p = r.randrange(len(line))
-            own.append(r.choice([line, line[:p] + line[p + 1 :], line[:p] + "z" + line[p:], line[:p] + "ñ" + line[p + 1 :], line[:p] + line[p + 1 :] + "q"]))
+            own.append(r.choice([line, line[:p] + line[p + 1 :], line[:p] + "z" + line[p:], line[:p] + "ñ" + line[p + 1 :], line[:p] + line[p:p + 1] + line[p:], line[:p] + line[p + 1 :] + "q"]))
         texts.append("\n".join(own))
     docs = spark.createDataFrame([(len(texts) - i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, h1 string").repartition(3)
     first, count = {}, 0
     for d, t in sorted((len(texts) - i, t) for i, t in enumerate(texts)):
         for n, line in enumerate(t.split("\n") if t is not None else []):
-            if line.strip(" "):
+            if line.strip(BLANKS):
                 first.setdefault(line, (d, n))
     near = defaultdict(list)
     for a in first:
         for b in first:
-            if a != b and min(len(a), len(b)) >= 16 and abs(len(a) - len(b)) <= 1 and distance(a, b) <= 1:
+            if a != b and abs(len(a) - len(b)) <= 1 and distance(a, b) <= 1:
                 near[a].append(first[b])
     got = {r.doc_id: r for r in lines.line_report(docs).collect()}
     for i, t in enumerate(texts):
         d, own = len(texts) - i, t.split("\n") if t is not None else []
-        gone = [n for n, x in enumerate(own) if x.strip(" ") and (first[x] != (d, n) or any(o < first[x] for o in near[x]))]
-        links = sum(len(near[x]) for n, x in enumerate(own) if x.strip(" ") and first[x] == (d, n))
+        gone = [n for n, x in enumerate(own) if x.strip(BLANKS) and (first[x] != (d, n) or any(o < first[x] for o in near[x]))]
+        links = sum(len(near[x]) for n, x in enumerate(own) if x.strip(BLANKS) and first[x] == (d, n))
         assert (got[d].n_lines, got[d].n_removed, got[d].n_links, got[d].removed_lines) == (len(own), len(gone), links, ",".join(map(str, gone))), d
         count += len(gone)
     assert count
@@ -236,13 +259,42 @@ def test_lines_against_all_pairs(spark, rows):
 
 
 def test_lines_of_any_length(spark):
-    own = ["Contact us", "Contact us.", "Read more", "Read more>", "a", "b", "ab", "é", "abc", "acb", " a", "   ", "123456789012345", "1234567890123456", "xyzw", "xyw", "yzw"]
+    own = ["Contact us", "Contact us.", "Read more", "Read more>", "a", "b", "ab", "é", "abc", "acb", " a", "   ", "the same line 1", "the same line 2", "1234567890123456", "xyzw", "xyw", "yzw"]
     docs = spark.createDataFrame([(0, "\n".join(own))], "doc_id long, text string")
     near = {a: [b for b in own if a != b and b.strip(" ") and distance(a, b) <= 1] if a.strip(" ") else [] for a in own}
     gone = [n for n, a in enumerate(own) if any(own.index(b) < n for b in near[a])]
-    got = lines.line_report(docs, min_chars=1).first()
+    got = lines.line_report(docs).first()
     assert (got.n_lines, got.n_removed, got.n_links, got.removed_lines) == (len(own), len(gone), sum(map(len, near.values())), ",".join(map(str, gone)))
-    assert lines.line_report(docs).first().n_links == 0
+
+
+def test_numbered_lines_are_counted_without_their_pairs(spark):
+    """300 lines that differ in one place of four: each key has them all, so they go by groups."""
+    own = [f"the page with the number {n:03d} of this book" for n in range(300)]
+    got = lines.line_report(spark.createDataFrame([(n, x) for n, x in enumerate(own)], "doc_id int, text string")).collect()
+    near = lambda n: sum(sum(a != b for a, b in zip(f"{n:03d}", f"{m:03d}", strict=True)) == 1 for m in range(300))
+    assert {r.doc_id: r.n_links for r in got} == {n: near(n) for n in range(300)}
+
+
+@pytest.mark.parametrize("threshold", [1, 2, 3])
+def test_banded_bit_parallel_distance(spark, threshold):
+    from pyspark.sql import functions as F
+
+    r = random.Random(threshold)
+    word = lambda: "".join(r.choice("ab😀") for _ in range(r.randint(1, 9)))
+    pairs = [(word(), word()) for _ in range(400)]
+    df = spark.createDataFrame(pairs, "x string, y string").withColumn("a", F.split("x", "")).withColumn("b", F.split("y", ""))
+    for q in df.withColumn("ok", lines.within("a", "b", threshold)).collect():
+        assert q.ok == (distance(q.x, q.y) <= threshold), (q.x, q.y)
+
+
+def test_lines_of_rows_without_ids_or_with_repeated_ones(spark):
+    rows_ = [(None, "one line\ntwo"), (None, "one line"), (3, "two\nthree lines"), (3, "three lines"), (1, "two")]
+    docs = spark.createDataFrame([(*x, "c", "d") for x in rows_], "doc_id long, text string, rid string, gone string")
+    kept = lines.drop_lines(docs)
+    assert kept.columns == docs.columns
+    texts = sorted(x for r in kept.collect() for x in r.text.split("\n") if x)
+    assert texts == ["one line", "three lines", "two"]
+    assert kept.count() == len(rows_) and lines.drop_lines(docs.limit(0)).count() == 0
 
 
 def test_mixing(spark, docs, rows):
