@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -58,16 +60,38 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's own setting to delete a query's shuffle files when it ends.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    What was shuffled for it is deleted when it is written, for nothing reads that again.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with cleaned(spark):
+        df.write.parquet(path)
     out = spark.read.schema(T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])).parquet(path)
     out.stored_at = path
     return out
 
 
+@contextlib.contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Queries that end in here leave no shuffle files."""
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN)
+        else:
+            spark.conf.set(CLEAN, before)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
