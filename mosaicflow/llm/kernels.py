@@ -149,12 +149,18 @@ class Words:
 
     def hashes(self, base: int = BYTE_BASE) -> np.ndarray:
         """A 64-bit hash of each word's bytes; another base gives another hash."""
-        if not len(self.starts):
-            return np.zeros(0, dtype=np.uint64)
-        up, down = powers(base, len(self.data))
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        out, i = np.empty(len(self.starts), dtype=np.uint64), 0
+        while i < len(out):  # runs of words of SLICE_BYTES, for a giant document's powers and sums would weigh 40 bytes a byte
+            begin = int(self.starts[i])
+            j = max(i + 1, int(np.searchsorted(self.ends, begin + SLICE_BYTES, side="right")))
+            data = self.data[begin : self.ends[j - 1]]
+            up, down = powers(base, len(data))
+            sums = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+            starts, ends = self.starts[i:j] - begin, self.ends[i:j] - begin
+            out[i:j] = mix((sums[ends] - sums[starts]) * down[starts])
+            i = j
+        return out
 
     def text(self, i: int, j: int) -> bytes:
         """Words i to j (not included), joined by one space."""

@@ -7,9 +7,9 @@ third of all documents have is one row. A new batch becomes a run and is merge-j
 bucket, with no shuffle; when there are more than `FANOUT` runs they are compacted into one.
 
 Hashes that two documents have are verified on whole windows: the documents with such a fingerprint are read again, and
-of the 128-bit hashes of their 50-word windows under these fingerprints every one but that of the smallest id is a
-repeat. The least id of a window is found by counts combined before the shuffle, so that a passage which many documents
-have is not one task's. An index that outlives a call also keeps the texts and fingerprints that it has taken in, for the
+of their 50-word windows under these fingerprints, told apart by two hashes of 96 bits together, every one but that of the
+smallest id is a repeat. Least ids are found before the shuffle, so that a passage which many documents have is not one
+task's. An index that outlives a call also keeps the texts and fingerprints that it has taken in, for the
 windows of later rows are held against theirs.
 """
 
@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import drop_path, drop_stored, new_path, small_batches, stored, table
+from .common import cleaned, drop_path, drop_stored, new_path, small_batches, stored, table
 
 WINDOW, GRAM = 50, 25
 REACH = WINDOW - GRAM + 1
-FANOUT = 4
-BATCHES = 6
+FANOUT = 2
+BATCHES = 4
 BITS = 26
 
 
@@ -98,7 +98,8 @@ class FingerprintIndex:
         """Write (hash, lo, hi), distinct hashes, as a run; the name of its table."""
         name = f"fingerprint_run_{uuid.uuid4().hex}"
         writer = rows.select("hash", "lo", "hi").write.format("parquet").bucketBy(self.buckets, "hash").sortBy("hash")
-        writer.option("path", new_path(self.spark, name)).saveAsTable(name)
+        with cleaned(self.spark):
+            writer.option("path", new_path(self.spark, name)).saveAsTable(name)
         return name
 
     def add(self, fresh: DataFrame) -> DataFrame:
@@ -150,10 +151,10 @@ def drop_runs(spark: SparkSession, names: list[str]) -> None:
 def id_bitmap(ids: DataFrame, bits: int = BITS) -> np.ndarray:
     """2**bits bits, set at hashes of the ids; 2**bits / 8 bytes (8 MB) at most, whatever the number of ids."""
     v = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)) + 1).alias("v")
-    rows = ids.select(v).groupBy(F.bitmap_bucket_number("v").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("m")).toLocalIterator()
     out = np.zeros((1 << bits) // 8, dtype=np.uint8)
-    for r in rows:
-        out[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(bytes(r["m"]), dtype=np.uint8)
+    with cleaned(ids.sparkSession):
+        for r in ids.select(v).groupBy(F.bitmap_bucket_number("v").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("m")).toLocalIterator():
+            out[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(bytes(r["m"]), dtype=np.uint8)
     return out
 
 
@@ -174,7 +175,7 @@ def maybe(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def candidate_windows(docs: DataFrame) -> DataFrame:
-    """(w, x, doc_id): distinct 128-bit hashes of each document's windows whose fingerprint is among its `prints`."""
+    """(w, x, doc_id): distinct hashes, of 64 and 32 bits, of each document's windows whose fingerprint is among its `prints`."""
 
     @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,10 +193,11 @@ def candidate_windows(docs: DataFrame) -> DataFrame:
                 at, hashes, owner = at[order], hashes[order], owner[order]
                 new = np.ones(len(at), dtype=bool)
                 new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-                yield pa.RecordBatch.from_arrays([signed(hashes[new]), signed(other_hashes(words, at[new])), batch.column(0).slice(i, j - i).take(pa.array(owner[new]))], names=["w", "x", "doc_id"])
+                x = pa.array((other_hashes(words, at[new]) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                yield pa.RecordBatch.from_arrays([signed(hashes[new]), x, batch.column(0).slice(i, j - i).take(pa.array(owner[new]))], names=["w", "x", "doc_id"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", "prints").mapInArrow(run, f"w long, x long, doc_id {kind}")
+    return docs.select("doc_id", "text", "prints").mapInArrow(run, f"w long, x int, doc_id {kind}")
 
 
 def repeats(rows: DataFrame) -> DataFrame:
