@@ -225,3 +225,11 @@ def test_kernels_use_two_independent_hashes():
     words = kernels.Words(np.frombuffer(b"ab ba ab", dtype=np.uint8), np.array([0, 8]), kernels.SPACED, False)
     one, two = words.hashes(), words.hashes(kernels.OTHER_BASE)
     assert one[0] == one[2] != one[1] and two[0] == two[2] != two[1] and (one != two).all()
+
+
+def test_kernels_hash_words_alike_wherever_they_stand(monkeypatch):
+    text = b" ".join([b"ab", b"c" * 40, b"ab", b"dd", b"c" * 40] * 9)
+    of = lambda: kernels.Words(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]), kernels.SPACED, False).hashes()
+    whole = of()
+    monkeypatch.setattr(kernels, "SLICE_BYTES", 50)
+    assert (of() == whole).all() and len(set(whole.tolist())) == 3

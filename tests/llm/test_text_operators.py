@@ -117,7 +117,7 @@ def test_substring_against_all_windows(docs, rows):
     for d in sorted(words):
         for i in range(len(words[d]) - 49):
             first.setdefault(tuple(words[d][i : i + 50]), d)
-    for batches in (1, 6):
+    for batches in (1, 4):
         got = {r.doc_id: r for r in substring.dedup_substrings(docs, batches=batches).collect()}
         assert sorted(got) == sorted(words)
         for d, w in words.items():
@@ -224,7 +224,7 @@ def test_lines_against_all_pairs(spark, monkeypatch, hot):
     monkeypatch.setattr(lines, "HOT", hot)
     r = random.Random(5)
     base = ["".join(r.choice("abé ") for _ in range(r.randint(1, 24))) for _ in range(24)]
-    texts = [None, "", "\n\n", "\t\t", "\r", "short", "shorx\nshort", "x" * 30_000 + "y", "x" * 30_000]
+    texts = [None, "", "\n\n", "\t\t", "\r", "short", "shorx\nshort", "x" * 1000 + "y", "x" * 1000]
     for _ in range(25):
         own = []
         for _ in range(r.randint(1, 6)):
@@ -277,13 +277,11 @@ def test_numbered_lines_are_counted_without_their_pairs(spark):
 
 @pytest.mark.parametrize("threshold", [1, 2, 3])
 def test_banded_bit_parallel_distance(spark, threshold):
-    from pyspark.sql import functions as F
-
     r = random.Random(threshold)
     word = lambda: "".join(r.choice("ab😀") for _ in range(r.randint(1, 9)))
     pairs = [(word(), word()) for _ in range(400)]
-    df = spark.createDataFrame(pairs, "x string, y string").withColumn("a", F.split("x", "")).withColumn("b", F.split("y", ""))
-    for q in df.withColumn("ok", lines.within("a", "b", threshold)).collect():
+    df = spark.createDataFrame(pairs, "x string, y string")
+    for q in df.withColumn("ok", lines.within("x", "y", threshold)).collect():
         assert q.ok == (distance(q.x, q.y) <= threshold), (q.x, q.y)
 
 
