@@ -33,15 +33,20 @@ def bounds(base: Column, i: int | Column) -> tuple[Column, Column]:
     return F.floor(base * i / QUARTERS).cast("int"), F.floor(base * (i + 1) / QUARTERS).cast("int")
 
 
-def key(line: Column, size: Column, base: Column, i: int) -> Column:
-    """Hash of the line without the i-th quarter of a line of length base."""
+def quarter(line: Column, base: Column, i: int, shift: int) -> Column:
+    """Hash of the i-th quarter of a line of length base, moved by so many characters."""
     begin, end = bounds(base, i)
-    rest = base - end
-    return F.xxhash64(base, F.lit(i), line.substr(F.lit(1), begin), line.substr(size - rest + 1, rest))
+    return F.xxhash64(line.substr(begin + 1 + shift, end - begin))
+
+
+def key(base: Column, i: int, rest: list[str]) -> Column:
+    """A line without its i-th quarter, by the hashes of the others."""
+    return F.xxhash64(base, F.lit(i), *[c for k, c in enumerate(rest) if k != i])
 
 
 def not_blank(line: Column) -> Column:
-    return F.trim(line, F.lit(BLANKS)) != ""
+    """A first character beyond white space tells at once; others are trimmed."""
+    return (F.ascii(line) > 32) | (F.trim(line, F.lit(BLANKS)) != "")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -50,10 +55,14 @@ def occurrences(docs: DataFrame) -> DataFrame:
     A row without lines gives one row without line_no, a blank line one without h1.
     """
     rows = docs.withColumn("rid", F.monotonically_increasing_id()).select("rid", "doc_id", F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"))
-    size = F.char_length("line")
-    seen = not_blank(F.col("line"))
-    keys = [F.when(seen, key(F.col("line"), size, size, i)).alias(n) for i, n in enumerate(OWN)] + [F.when(seen, key(F.col("line"), size, size - 1, i)).alias(n) for i, n in enumerate(PROBE)]
-    return rows.select("rid", "doc_id", "line_no", F.when(seen, F.xxhash64("line")).alias("h1"), F.when(seen, F.xxhash64(F.lit(1), F.col("line"))).alias("h2"), *keys)
+    rows = rows.withColumn("size", F.char_length("line")).withColumn("seen", not_blank(F.col("line")))
+    line, size, every = F.col("line"), F.col("size"), range(QUARTERS)
+    # as the longer line: the quarters before the one that is left out stand where they do in the shorter line, those behind one further
+    parts = {f"q{i}": quarter(line, size, i, 0) for i in every} | {f"l{i}": quarter(line, size - 1, i, 0) for i in every[:-1]} | {f"r{i}": quarter(line, size - 1, i, 1) for i in every[1:]}
+    rows = rows.withColumns(parts)
+    keys = [F.when(F.col("seen"), key(size, i, [f"q{k}" for k in every])).alias(n) for i, n in enumerate(OWN)]
+    keys += [F.when(F.col("seen"), key(size - 1, i, [f"{'l' if k < i else 'r'}{k}" for k in every])).alias(n) for i, n in enumerate(PROBE)]
+    return rows.select("rid", "doc_id", "line_no", F.when(F.col("seen"), F.xxhash64("line")).alias("h1"), F.when(F.col("seen"), F.xxhash64(F.lit(1), F.col("line"))).alias("h2"), *keys)
 
 
 def entries(lines: DataFrame) -> DataFrame:
@@ -82,7 +91,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def within(x: str, y: str, threshold: int) -> Column:
-    """True where the edit distance of two columns, arrays of characters, is threshold at most.
+    """True where the edit distance of two text columns is threshold at most.
 
     The band holds the differences between neighbouring cells of the rows j - threshold to j + threshold of column j as
     two words of bits, up and down; the distance is followed along the band's last diagonal until that leaves the
@@ -90,8 +99,8 @@ def within(x: str, y: str, threshold: int) -> Column:
     """
     t, width = threshold, 2 * threshold + 1
     full = (1 << width) - 1
-    same = " | ".join(f"if(get({x}, j + {d - t}) = get({y}, j), {1 << d}L, 0L)" for d in range(width))
-    m, n = f"size({x})", f"size({y})"
+    same = " | ".join(f"if(get(v.x, j + {d - t}) = get(v.y, j), {1 << d}L, 0L)" for d in range(width))
+    m, n = "v.m", "v.n"
     # eq: which rows of the band match; zero: where the diagonal does not rise; hp, hn: rising and falling along the row
     step = f"""
       aggregate(sequence(0, {n} - 1), named_struct('up', {full - (1 << t) + 1}L, 'down', 0L, 'far', least({t}, {m})), (s, j) ->
@@ -103,7 +112,9 @@ def within(x: str, y: str, threshold: int) -> Column:
               'far', s.far + if(j < {m} - {t}, if((zero & {1 << (2 * t)}L) = 0, 1, 0),
                 cast(shiftright(h.hp, {m} - 1 - j + {t}) & 1L as int) - cast(shiftright(h.hn, {m} - 1 - j + {t}) & 1L as int)))))),
         s -> s.far)"""
-    return F.expr(f"abs({m} - {n}) <= {t} and if({n} = 0, {m}, if({m} = 0, {n}, {step})) <= {t}")
+    # a lambda's variable is worked out once; a column of arrays would be split again at every use
+    both = f"named_struct('x', split({x}, ''), 'y', split({y}, ''), 'm', char_length({x}), 'n', char_length({y}))"
+    return F.expr(f"abs(char_length({x}) - char_length({y})) <= {t} and aggregate(array({both}), false, (r, v) -> if({n} = 0, {m}, if({m} = 0, {n}, {step})) <= {t})")
 
 
 def pair_links(met: DataFrame, texts: DataFrame) -> DataFrame:
@@ -123,7 +134,7 @@ def pair_links(met: DataFrame, texts: DataFrame) -> DataFrame:
         begin, end = bounds(base, i)
         agree = (F.substring("x", F.lit(1), begin) == F.substring("y", F.lit(1), begin)) & (F.col("x").substr(size - (base - end) + 1, base - end) == F.col("y").substr(end + 1, base - end))
         before = before | ((F.col("i") > i) & agree)
-    both = both.filter(~before).withColumn("x", F.split("x", "")).withColumn("y", F.split("y", "")).filter(within("x", "y", THRESHOLD))
+    both = both.filter(~before).filter(within("x", "y", THRESHOLD))
     return both.select(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.col("b1").alias("o1"), F.col("b2").alias("o2"), "i").select(
         F.explode(F.array(F.struct("h1", "h2", "o1", "o2"), F.struct(F.col("o1").alias("h1"), F.col("o2").alias("h2"), F.col("h1").alias("o1"), F.col("h2").alias("o2")))).alias("p")
     ).select("p.*")
