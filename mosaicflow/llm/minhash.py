@@ -16,6 +16,7 @@ of bounded size which give out links only between components.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,8 +117,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def block_links(sets: list[np.ndarray], minor: np.ndarray, comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links (i, j) of members in different components, one of them minor; a forest of them: none closes a ring."""
+def block_links(sets: list[np.ndarray], minor: np.ndarray, comp: np.ndarray, own: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (i, j) of members in different components, one of them minor and one of the group's own size; a forest of
+    them: none closes a ring."""
     left = np.flatnonzero(minor)
     sizes = np.array([len(s) for s in sets])
     values, at = np.unique(np.concatenate(sets), return_inverse=True)
@@ -135,7 +137,7 @@ def block_links(sets: list[np.ndarray], minor: np.ndarray, comp: np.ndarray, per
         dense[member[a:b], at[a:b] - begin] = 1
         both += dense[left] @ dense.T
     union = sizes[left][:, None] + sizes[None, :] - both
-    ok = (100 * both.astype(np.float64) >= percent * union) & (comp[left][:, None] != comp[None, :])
+    ok = (100 * both.astype(np.float64) >= percent * union) & (comp[left][:, None] != comp[None, :]) & (own[left][:, None] | own[None, :])
     parent: dict[object, object] = {}
 
     def root(c):  # noqa: ANN001, ANN202
@@ -153,16 +155,18 @@ def block_links(sets: list[np.ndarray], minor: np.ndarray, comp: np.ndarray, per
 
 
 def residual_links(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between different components inside lists (v, node).
+    """Links (a, b) between different components inside lists (v, node, n).
 
-    A list's members outside its largest component are dealt to blocks by a hash, and so are the others; each pair of
-    blocks that has a minor one is one task's group. Blocks have about BLOCK members whatever the list's size.
+    A list falls into groups of like set sizes: sets that link lie in one size class or in neighbouring ones, so each
+    member goes to its own class and to the next. A group's members outside its largest component are dealt to blocks by
+    a hash, and so are the others; each pair of blocks that has a minor one is one task's group. Blocks have about BLOCK
+    members whatever the list's size.
     """
-    rows = lists.join(labels, "node", "left").select("v", "node", F.coalesce("component", "node").alias("comp"))
-    open_ = rows.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("v")
-    rows = rows.join(open_, "v")
-    per = rows.groupBy("v", "comp").agg(F.count("*").alias("c")).groupBy("v").agg(F.max_by("comp", F.struct("c", "comp")).alias("major"), F.max("c").alias("big"), F.sum("c").alias("all"))
-    rows = rows.join(per, "v").withColumn("minor", F.col("comp") != F.col("major"))
+    size_class = F.floor(F.log("n") / (1.001 * math.log(100 / percent))).cast("int")  # a little wide, for logarithms are rounded
+    rows = lists.join(labels, "node", "left").withColumn("c", size_class).withColumn("g", F.explode(F.array(F.col("c"), F.col("c") + 1)))
+    rows = rows.select("v", "g", "node", F.coalesce("component", "node").alias("comp"), (F.col("c") == F.col("g")).alias("own"))
+    per = rows.groupBy("v", "g", "comp").agg(F.count("*").alias("k")).groupBy("v", "g").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.max("k").alias("big"), F.sum("k").alias("all"))
+    rows = rows.join(per.filter("big < all"), ["v", "g"]).withColumn("minor", F.col("comp") != F.col("major"))
     bm, bg = F.ceil((F.col("all") - F.col("big")) / BLOCK).cast("int"), F.ceil(F.col("big") / BLOCK).cast("int")
     rows = rows.withColumn("bm", bm).withColumn("bg", bg).withColumn("h", F.xxhash64("node", F.lit(5)))
     mine = F.pmod(F.col("h"), F.when(F.col("minor"), F.col("bm")).otherwise(F.col("bg"))).cast("int")
@@ -173,7 +177,7 @@ def residual_links(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent
     )
     other_to = F.transform(F.sequence(F.lit(0), F.col("bm") - 1), lambda k: F.struct(k.alias("i"), (-1 - F.col("mine")).alias("j")))
     dealt = rows.withColumn("mine", mine).withColumn("to", F.explode(F.when(F.col("minor"), minor_to).otherwise(other_to)))
-    dealt = dealt.select("v", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "node", "comp", "minor").join(sets, "node")
+    dealt = dealt.select("v", "g", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "node", "comp", "minor", "own").join(sets, "node")
 
     @K.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +186,7 @@ def residual_links(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent
         def links() -> list[tuple[object, object]]:
             if len(group) < 2:
                 return []
-            found = block_links([np.frombuffer(g[3], dtype=np.uint64) for g in group], np.array([g[2] for g in group]), np.array([g[1] for g in group]), percent)
+            found = block_links([np.frombuffer(g[4], dtype=np.uint64) for g in group], np.array([g[2] for g in group]), np.array([g[1] for g in group]), np.array([g[3] for g in group]), percent)
             return [(group[x][0], group[y][0]) for x, y in found]
 
         def out(found: list[tuple[object, object]]) -> pa.RecordBatch:
@@ -191,17 +195,17 @@ def residual_links(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent
         for batch in batches:
             found = []
             kind_ = batch.schema.field("node").type
-            for v, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (v, i, j) != key:
+            for v, g, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (v, g, i, j) != key:
                     found += links()
-                    key, group = (v, i, j), []
+                    key, group = (v, g, i, j), []
                 group.append(rest)
             yield out(found)
         if group:
             yield out(links())
 
     kind = lists.schema["node"].dataType.simpleString()
-    return dealt.repartition("v", "i", "j").sortWithinPartitions("v", "i", "j").select("v", "i", "j", "node", "comp", "minor", "set").mapInArrow(run, f"a {kind}, b {kind}")
+    return dealt.repartition("v", "g", "i", "j").sortWithinPartitions("v", "g", "i", "j").select("v", "g", "i", "j", "node", "comp", "minor", "own", "set").mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def prefix(t: Column, m: Column) -> Column:
@@ -273,7 +277,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     a, b = labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     rest = met.select("a", "b").join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     tested = rest.join(pairs, ["a", "b"], "left_anti")
-    more = stored(verified(tested, sets, percent).unionByName(residual_links(long.select(F.col("c").alias("v"), "node"), labels, sets, percent)), "minhash-more")
+    more = stored(verified(tested, sets, percent).unionByName(residual_links(long.select(F.col("c").alias("v"), "node", "n"), labels, sets, percent)), "minhash-more")
     same = members.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     labels = components(links.unionByName(more).unionByName(same))
     drop_stored(members, placed, long, met, wanted, sets, links, more)  # rows and labels make the result
