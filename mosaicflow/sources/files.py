@@ -37,8 +37,16 @@ def _shaped(rows: DataFrame) -> DataFrame:
     return rows.withColumn("geom", polygons(F.col("f.geometry.type"), F.col("f.geometry.coordinates")))
 
 
-def read_catalogue(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """name, url ('' where absent), geom and ordinal of each feature of a catalogue."""
+def read_catalogue(spark: SparkSession, paths: str | list[str], lines: bool = False) -> DataFrame:
+    """name, url ('' where absent), geom and ordinal of each feature of a catalogue.
+
+    A catalogue is one document, which one task reads. With lines it has a feature a line, as write_features leaves it,
+    and is split over tasks; ordinal is then the line's byte order by file part (increasing, with gaps).
+    """
+    if lines:
+        rows = spark.read.schema("properties struct<name: string, url: string>, geometry struct<type: string, coordinates: string>").option("mode", "FAILFAST").json(paths)
+        rows = rows.select(F.struct("properties", "geometry").alias("f"), F.monotonically_increasing_id().alias("ordinal"))
+        return _shaped(rows).select("f.properties.name", F.coalesce("f.properties.url", F.lit("")).alias("url"), "geom", "ordinal")
     return _shaped(_features(spark, paths, "struct<name: string, url: string>")).select("f.properties.name", F.coalesce("f.properties.url", F.lit("")).alias("url"), "geom", "ordinal")
 
 

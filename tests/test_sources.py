@@ -2,8 +2,12 @@
 
 import io
 import json
+import sys
+import urllib.error
 
+import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from mosaicflow.plans.config import RunConfig
@@ -59,28 +63,111 @@ def test_features_and_documents(spark, tmp_path):
     assert lifted.count("<GroundOverlay>") == 2 and lifted.count("<altitude>") == 1 and "1.sea.png" in lifted
 
 
-def test_range_file():
+def test_remote_file_reads_runs_of_blocks():
     data, asked = bytes(range(256)) * 40, []
 
-    def fetch(url, a, b):
-        asked.append((a, b))
+    def get(url, first, last):
+        asked.append((url, first, last))
         if len(asked) == 1:
             raise OSError("try again")
-        return data[a:b]
-
-    f = remote.RangeFile("u", size=len(data), block=1000, gap=50, piece=500, fetch=fetch)
-    f.prefetch([(0, 100), (120, 100), (900, 10)])
-    assert set(asked) == {(0, 220), (900, 910)} and len(asked) == 3
+        if url != "u?2":
+            raise urllib.error.HTTPError(url, 403, "expired", None, None)
+        return data[first : last + 1]
+
+    signs = iter("12")
+    store = remote.BlockStore("u", len(data), get, sign=lambda u: f"{u}?{next(signs)}", block=100, per_request=3, workers=1)
+    store.need([(0, 100), (120, 100), (900, 10), (-0, 0)])
+    assert [x[1:] for x in asked] == [(0, 299)] * 3 + [(900, 999)] and sorted(store.have) == [0, 1, 2, 9]
+    f = remote.RemoteFile(store)
     f.seek(90)
-    assert io.BufferedReader(f, 16).read(60) == data[90:150] and len(asked) == 3
+    assert io.BufferedReader(f, 16).read(60) == data[90:150] and len(asked) == 4
     f.seek(-5, 2)
     assert f.read(99) == data[-5:] and f.read(1) == b""
-    f.seek(2990)
-    assert b"".join(iter(lambda: f.read(7), b""))[:40] == data[2990:3030]
-    assert list(remote.coalesce([], 1, 1)) == []
+    f.seek(300)
+    assert f.read(1000) == data[300:1300] and [x[1:] for x in asked[5:]] == [(300, 599), (600, 899), (1000, 1299)]
     assert remote.window_blocks((1000, 1000), 512, (500, 600, 0, 10)) == [(0, 512, 0, 512), (512, 1000, 0, 512)]
 
 
+class StandIn:
+    """What the reader uses of an HDF5 file: one chunked float dataset whose rows of chunks follow a header."""
+
+    HEADER, HIGH, WIDE, SHAPE = 1000, 4, 8, (10, 16)
+
+    def __init__(self, f):
+        self.f, self.shape, self.chunks, self.id = f, self.SHAPE, (self.HIGH, self.WIDE), self
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        return None
+
+    def get_chunk_info_by_coord(self, at):
+        import types
+
+        return types.SimpleNamespace(byte_offset=self.HEADER + (at[0] // self.HIGH * 2 + at[1] // self.WIDE) * self.HIGH * self.WIDE * 4, size=self.HIGH * self.WIDE * 4)
+
+    @classmethod
+    def write(cls, array):
+        full = np.zeros((12, 16), dtype=np.float32)
+        full[:10] = array
+        return b"h" * cls.HEADER + b"".join(full[i : i + 4, j : j + 8].tobytes() for i in (0, 4, 8) for j in (0, 8))
+
+    def __getitem__(self, key):
+        if isinstance(key, str):
+            return self
+        full = np.zeros((12, 16), dtype=np.float32)
+        rows, cols = key
+        for i in range(rows.start // 4 * 4, rows.stop, 4):
+            for j in range(cols.start // 8 * 8, cols.stop, 8):
+                info = self.get_chunk_info_by_coord((i, j))
+                self.f.seek(info.byte_offset)
+                full[i : i + 4, j : j + 8] = np.frombuffer(self.f.read(info.size), dtype=np.float32).reshape(4, 8)
+        return full[:10][key]
+
+
+def test_array_blocks_over_ranges(monkeypatch):
+    array = np.arange(160, dtype=np.float32).reshape(10, 16)
+    array[3, 3] = np.nan
+    data, sent = StandIn.write(array), []
+
+    def get(url, first, last):
+        sent.append(last - first + 1)
+        return data[first : last + 1]
+
+    def cells(**options):
+        reader = remote._ArrayReader({"files": "https://x/a.h5", "layers": "v", **{k: str(v) for k, v in options.items()}}, StandIn, lambda u: len(data), get)
+        out = {}
+        for batch in reader.read(reader.partitions()[0]):
+            (r,) = batch.to_pylist()
+            at = lambda k, step: -(-k // step) * step
+            stride = options.get("stride", 1)
+            for n, v in enumerate(r["values"]):
+                out[at(r["row0"], stride) + n // r["cols"] * stride, at(r["col0"], stride) + n % r["cols"] * stride] = v
+        return out
+
+    plain = lambda rows, cols: {(i, j): None if np.isnan(array[i, j]) else array[i, j] for i in rows for j in cols}
+    monkeypatch.setattr(remote.BlockStore.__init__, "__defaults__", (remote.http_bytes, None, 64, 64, 8, 4))
+    assert cells(block=5) == plain(range(10), range(16))
+    assert cells(block=5, stride=3) == plain(range(0, 10, 3), range(0, 16, 3))
+    sent.clear()
+    assert cells(block=4, r0=4, r1=8, c0=0, c1=4) == plain(range(4, 8), range(4))
+    assert sum(sent) <= 128 + 2 * 64  # one chunk of six, in whole blocks
+
+
+def test_array_blocks_of_local_files(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(StandIn.write(np.arange(160).reshape(10, 16)))
+
+    class Local(remote.ArrayBlocks):
+        opener = staticmethod(lambda path: StandIn(open(path, "rb", buffering=0)))
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import this file
+    spark.dataSource.register(Local)
+    got = spark.read.format("array-blocks").option("files", str(tmp_path / "a.bin")).option("layers", "v").option("block", 8).load()
+    assert sorted((r.row0, r.col0, r.rows, r.cols) for r in got.collect()) == [(0, 0, 8, 8), (0, 8, 8, 8), (8, 0, 2, 8), (8, 8, 2, 8)]
+    assert got.selectExpr("sum(aggregate(values, 0D, (s, x) -> s + x))").first()[0] == 159 * 80
+
+
 def test_search_reads_its_cache(spark, tmp_path):
     (tmp_path / "cycle031.json").write_text(json.dumps({"features": [feature({"name": "n", "url": "u"}, RING)]}))
     remote.register(spark)
