@@ -23,8 +23,10 @@ def parse_name(df: DataFrame, name: str = "name", allow_v: bool = False) -> Data
     """
     n = F.col(name)
     h, v = list(H_MODES), list(V_MODES)
-    # the pattern is matched once; what it fixes stands at fixed tokens, so the parts come from one split
-    out = df.filter(n.rlike(SINGLE) | n.rlike(PAIR)).withColumn("t__", F.split(n, "_")).withColumn("pair__", n.startswith("NISAR_L2_PR_GUNW_"))
+    # the pattern is matched once; what it fixes stands at fixed tokens, so the parts come from one split. Exploding one
+    # array keeps the optimizer from working the name and its tokens out again for every condition on them
+    tokens = F.when(n.rlike(SINGLE) | n.rlike(PAIR), F.split(n, "_"))
+    out = df.withColumn("t__", F.explode(F.array(tokens))).filter("t__ is not null").withColumn("pair__", F.get("t__", F.lit(3)) == "GUNW")
     t = lambda i: F.get("t__", F.lit(i))
     pair = F.col("pair__")
     a, b = F.substring(t(9), 1, 2), F.substring(t(9), 3, 2)

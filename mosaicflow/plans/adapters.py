@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.runs import JOB_LINE
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,7 +38,8 @@ def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("28 + c % 6"), F.expr("c % 173"), F.expr("if(c % 2 = 0, 'A', 'D')"), F.expr("c % 176"), mode, pol, F.expr("if(c % 11 = 0, 'M', 'N')"),
         F.expr("c % 900000"), F.expr("c % 900000 + 30"), F.expr("if(st = 'P', 'P', 'X')"), F.expr("k div 1000 % 100000"), F.expr("if(k % 13 = 0, 'P', 'F')"), F.expr("k % 1000"),
     )
-    return o.withColumn("name", name).withColumn("url", F.concat(F.lit("https://data.example/"), "name", F.lit(".h5")))
+    # worked out once, as a scanned name would be: conditions on it must not be pushed below and repeat it
+    return o.withColumn("name", F.explode(F.array(name))).withColumn("url", F.concat(F.lit("https://data.example/"), "name", F.lit(".h5")))
 
 
 GRANULES = """granules as (select k, c, st, name, 'https://data.example/' || name || '.h5' as url from (
@@ -115,9 +118,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOG = """log as (select event_id % 5 as run, event_id as n, case when event_type = 'signup' and event_id % 40 = 1 then printf('%s %d tiles (%d jobs)', strftime(ts, '%m-%d %H:%M:%S'), user_id % 40, event_id % 50)
   else printf('%s T%d.%s: %d.0 min %s%s', strftime(ts, '%m-%d %H:%M:%S'), user_id % 40, case when user_id % 3 = 0 then 'BVV' else 'AHH' end, event_id % 50, case when event_type = 'error' then 'FAILED' else 'OK' end,
     case when event_id % 9 = 0 then ' skipped' else '' end) end as line from events)"""
-JOB_RE = r"^(\d\d-\d\d \d\d:\d\d:\d\d) (?:\[\d+/\d+, \d+ failed\] )?(\S+?)\.([AB][HV][HV]): ([\d.]+) min (OK|FAILED)(.*)"
-PARSED_LOG = rf"""parsed_log as (select run, n, line, case when regexp_matches(line, '^(\d\d-\d\d \d\d:\d\d:\d\d) \d+ tiles \(') then 'start' when regexp_matches(line, '{JOB_RE}') then 'job' else 'other' end as kind,
-  regexp_extract(line, '{JOB_RE}', 2) as tile, regexp_extract(line, '{JOB_RE}', 3) as grp, try_cast(regexp_extract(line, '{JOB_RE}', 4) as double) as minutes, regexp_extract(line, '{JOB_RE}', 5) as status from log),
+PARSED_LOG = rf"""parsed_log as (select run, n, line, case when regexp_matches(line, '^(\d\d-\d\d \d\d:\d\d:\d\d) \d+ tiles \(') then 'start' when regexp_matches(line, '{JOB_LINE}') then 'job' else 'other' end as kind,
+  regexp_extract(line, '{JOB_LINE}', 2) as tile, regexp_extract(line, '{JOB_LINE}', 3) as grp, try_cast(regexp_extract(line, '{JOB_LINE}', 4) as double) as minutes, regexp_extract(line, '{JOB_LINE}', 5) as status from log),
 since as (select run, max(n) as since from parsed_log where kind = 'start' group by run),
 jobs as (select p.* from parsed_log p left join since using (run) where kind = 'job' and (since is null or n > since))"""
 

@@ -69,6 +69,13 @@ def test_entry_stands_without_the_training_data_operators(tmp_path):
 
 
 def test_joins_are_planned_on_keys(spark):
-    for name in ("tile_candidates", "point_tiles", "countries_touched", "nearest_place"):
-        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    """No query plans a nested loop or a Cartesian product."""
+    for name in QUERIES:
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan, name
+
+
+def test_names_are_worked_out_once(spark):
+    for name in ("parse_names", "best_version_per_scene", "valid_footprints"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("format_string") <= 2 and plan.count("RLIKE") <= 4, (name, plan.count("format_string"), plan.count("RLIKE"))
