@@ -103,3 +103,9 @@ def half_to_float(bits: Column) -> Column:
     e, m = F.shiftright(bits, 10).bitwiseAND(F.lit(31)), bits.bitwiseAND(F.lit(1023))
     special = F.when(m == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
     return sign * F.when(e == 31, special).when(e == 0, m * (2.0**-24)).otherwise((m / 1024.0 + 1.0) * F.pow(F.lit(2.0), e - 15))
+
+
+def saved_share(plain: Column, packed: Column) -> tuple[Column, Column]:
+    """What a packed layer takes of its plain size, and the share that is saved; null where there was nothing."""
+    ratio = F.try_divide(packed.cast("double"), plain.cast("double"))
+    return ratio, 1 - ratio

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import names as N
-
-#: A table of so many rows is broadcast by the caller's count; beyond it joins are left to the planner.
-BROADCAST_ROWS = 100_000
+from .tables import ranked
 
 
 def best_versions(df: DataFrame, ordinal: str, name: str = "name") -> DataFrame:
@@ -93,7 +91,7 @@ def job_groups(picks: DataFrame, cross: bool = False) -> DataFrame:
 
 def longest_first(jobs: DataFrame, size: Column, *ties: str) -> DataFrame:
     """Jobs with their start order: most work first."""
-    return jobs.withColumn("work", size).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("work"), *ties)))
+    return ranked(jobs.withColumn("work", size), "rank", F.desc("work"), *ties)
 
 
 def last_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:

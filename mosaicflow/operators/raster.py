@@ -72,8 +72,8 @@ def pyramid(tiles: DataFrame, top: int, low: int) -> DataFrame:
 
 def strip_coarse(levels: DataFrame) -> DataFrame:
     """Payload stays at the finest level only; the others keep their index rows."""
-    finest = levels.agg(F.max("z").alias("finest"))
-    return levels.crossJoin(F.broadcast(finest)).withColumn("area", F.when(F.col("z") == F.col("finest"), F.col("area"))).drop("finest")  # one row is broadcast
+    finest = levels.agg(F.max("z")).scalar()
+    return levels.withColumn("area", F.when(F.col("z") == finest, F.col("area")))
 
 
 def ocean_kind(cells: DataFrame, keys: list[str]) -> DataFrame:

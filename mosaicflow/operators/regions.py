@@ -87,3 +87,8 @@ def region_summary(labelled: DataFrame, key: str, area: str | None = None, least
     size = F.count("*").cast("double") if area is None else F.sum(area)
     out = labelled.groupBy(key, "region").agg(F.count("*").alias("cells"), size.alias("area"), F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("col").alias("c0"), F.max("col").alias("c1"))
     return out.filter(F.col("area") >= least)
+
+
+def largest_first(regions_: DataFrame, area: str, least: float, top: int) -> DataFrame:
+    """The `top` largest regions of at least this area; a top-k, so each task keeps no more than `top`."""
+    return regions_.filter(F.col(area) >= least).orderBy(F.desc(area), *[c for c in regions_.columns if c != area]).limit(top)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: A job's line and a (re)start's line of a run log.
@@ -45,23 +49,44 @@ def progress(parsed: DataFrame, run: str, order: str) -> DataFrame:
     return last.groupBy(run).agg(F.count_if(F.col("l.status") == "OK").alias("done"), F.count_if(F.col("l.status") == "FAILED").alias("failed"), F.sum("l.minutes").alias("minutes"))
 
 
+def remaining(done: DataFrame, run: str, jobs: str, elapsed: str) -> DataFrame:
+    """Of runs with jobs done, their number and the minutes since the start: jobs an hour and minutes to go (null before the first)."""
+    rate = F.try_divide(F.col("done") * 60.0, F.col(elapsed))
+    return done.withColumns({"per_hour": rate, "minutes_left": F.try_divide((F.col(jobs) - F.col("done")) * 60.0, rate)})
+
+
 def merge_ranges(ranges: DataFrame, key: str, gap: int = 64 * 1024, piece: int = 16 * 1024 * 1024) -> DataFrame:
     """key, start, stop: byte ranges (offset, size) merged in order while gaps are small and the whole stays small.
 
     A gap wider than any merge allows ends an island for certain, which a running maximum tells. The size rule depends on
-    every merge before it, so each island's sorted ranges, and no more, are folded in one expression.
+    every merge before it, so islands, dealt over all tasks, are streamed in order; what is held is one open range.
     """
     spans = ranges.select(key, F.col("offset").cast("long").alias("a"), (F.col("offset") + F.col("size")).cast("long").alias("b"))
     order = Window.partitionBy(key).orderBy("a", "b")
     far = F.col("a") - F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1)) > gap
     marked = spans.withColumn("far", F.coalesce(far, F.lit(True)).cast("long"))
     islands = marked.withColumn("island", F.sum("far").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = islands.groupBy(key, "island").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("r"))
-    fold = f"""aggregate(r, cast(array() as array<struct<a: bigint, b: bigint>>), (acc, x) ->
-      if(size(acc) > 0 and x.a - element_at(acc, -1).b <= {gap} and x.b - element_at(acc, -1).a <= {piece},
-         concat(slice(acc, 1, size(acc) - 1), array(named_struct('a', element_at(acc, -1).a, 'b', greatest(element_at(acc, -1).b, x.b)))),
-         concat(acc, array(x))))"""
-    return rows.select(key, F.explode(F.expr(fold)).alias("m")).select(key, F.col("m.a").alias("start"), F.col("m.b").alias("stop"))
+    rows = islands.repartition(key, "island").sortWithinPartitions(key, "island", "a", "b").select(key, "island", "a", "b")
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: list | None = None  # key, island, start, stop
+        for batch in batches:
+            done = []
+            for k, island, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now and (k, island) == (now[0], now[1]) and a - now[3] <= gap and max(b, now[3]) - now[2] <= piece:
+                    now[3] = max(now[3], b)
+                    continue
+                if now:
+                    done.append(now)
+                now = [k, island, a, b]
+            yield out(done, batch.schema.field(0).type)
+        if now:
+            yield out([now], batch.schema.field(0).type)
+
+    def out(done: list[list], kind: pa.DataType) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], kind), pa.array([x[2] for x in done], pa.int64()), pa.array([x[3] for x in done], pa.int64())], names=[key, "start", "stop"])
+
+    return rows.mapInArrow(stream, T.StructType([ranges.schema[key], T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
 
 
 def chunks_of_window(windows: DataFrame, chunk: int) -> DataFrame:

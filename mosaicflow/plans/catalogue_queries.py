@@ -100,11 +100,11 @@ def forced_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.forced_picks(keep, candidates, u.select("name", "bw"), ["bw"])
 
 
-PICKS = "picks as (select 'T' || (k % 60) as tile, k as seq, name, freq, pol, bw from usable where k % 2 = 0)"
+PICKS = "picks as (select 'T' || (k % 60) as tile, k as seq, name, freq, pol, bw from usable)"
 
 
 def picks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usable(spark, sf_dir).filter("k % 2 = 0").selectExpr("concat('T', k % 60) as tile", "k as seq", "name", "freq", "pol", "bw")
+    return usable(spark, sf_dir).selectExpr("concat('T', k % 60) as tile", "k as seq", "name", "freq", "pol", "bw")
 
 
 @query(f"with {A.GRANULES}, {A.PARSED}, {PICKS} select tile, freq, case when pol in ('SH', 'DH', 'QP') then 'HH' else 'VV' end as term, cast(count(*) as bigint) as n, md5(string_agg(name || '.h5', ',' order by seq)) as files from picks group by all")
@@ -257,3 +257,23 @@ def merged_byte_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunks_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = A.table(spark, sf_dir, "orders").selectExpr("o_orderkey as wid", "o_orderkey % 3000 as r0", "o_orderkey % 3000 + 1 + o_orderkey % 900 as r1", "o_orderkey * 3 % 3000 as c0", "o_orderkey * 3 % 3000 + 1 + o_orderkey % 700 as c1")
     return R.chunks_of_window(w, 512).groupBy("row0", "col0").agg(F.count("*").alias("windows"))
+
+
+@query(f"with {A.GRANULES}, {A.PARSED}, {PICKS} select count(distinct name) as granules, count(distinct tile) as tiles, count(*) as picks from picks")
+def granules_used(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many different granules and tiles the picks have."""
+    return picks(spark, sf_dir).agg(F.countDistinct("name").alias("granules"), F.countDistinct("tile").alias("tiles"), F.count("*").alias("picks"))
+
+
+@query(f"with {A.GRANULES}, {A.PARSED}, {PICKS} select distinct tile from picks")
+def distinct_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return picks(spark, sf_dir).select("tile").distinct()
+
+
+@query(f"with {A.GRANULES}, {A.PARSED}, {PICKS}, n as (select tile, count(*) as n from picks group by tile) select tile, n, 60.0::double * n / (n + 30) as per_hour, (100 - n) * 60.0::double / (60.0::double * n / (n + 30)) as minutes_left from n")
+def jobs_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate and time to go of runs that have n jobs done, n + 30 minutes gone and 100 jobs in all."""
+    from ..operators import runs as R
+
+    n = picks(spark, sf_dir).groupBy("tile").agg(F.count("*").alias("n")).withColumns({"done": F.col("n"), "jobs": F.lit(100), "minutes": F.col("n") + 30})
+    return R.remaining(n, "tile", "jobs", "minutes").select("tile", "n", "per_hour", "minutes_left")

@@ -11,6 +11,7 @@ from ..operators import histogram as H
 from ..operators import raster as X
 from ..operators import regions as P
 from ..operators import stats as S
+from ..operators.tables import ranked
 from . import adapters as A
 from .registry import query
 
@@ -221,11 +222,9 @@ def backscatter_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {A.PIXELS} select tile, sum((col < 40)::int)::bigint as land, sum((col < 40 and like100 = -3000)::int)::bigint as gap, round(100.0 * sum((col < 40 and like100 = -3000)::int) / sum((col < 40)::int), 6) as pct, row_number() over (order by sum((col < 40 and like100 = -3000)::int) desc, tile desc) as rank from pixels group by tile")
 def land_gaps_by_tile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql.window import Window
-
     land, gap = F.col("col") < 40, F.col("like100") == D.NO_DATA
     g = A.pixels(spark, sf_dir).groupBy("tile").agg(F.count_if(land).alias("land"), F.count_if(land & gap).alias("gap"))
-    return g.withColumn("pct", F.round(F.lit(100.0) * F.col("gap") / F.col("land"), 6)).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("gap"), F.desc("tile"))).cast("long"))
+    return ranked(g.withColumn("pct", F.round(F.lit(100.0) * F.col("gap") / F.col("land"), 6)), "rank", F.desc("gap"), F.desc("tile"))
 
 
 @query(f"with {A.PIXELS} select case when row < 20 then 'south' when row < 44 then 'middle' else 'north' end as zone, count(*) as cells, sum((like100 = -3000)::int)::bigint as gaps from pixels group by rollup (zone)")

@@ -106,9 +106,9 @@ def nearest_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("pid", "place", F.round(F.col("d") * G.KM_PER_DEGREE, 6).alias("km"))
 
 
-@query(f"with {A.FOOTPRINTS}, {A.NATIONS} select k, string_agg(distinct name, ', ' order by name) as countries from footprints f join nations n on f.x0 < n.u1 and n.u0 < f.x1 and f.y0 < n.v1 and n.v0 < f.y1 group by k")
+@query(f"with {A.FOOTPRINTS}, {A.PIECES}, {A.NATIONS} select k, string_agg(distinct name, ', ' order by name) as countries from pieces f join nations n on f.x0 < n.u1 and n.u0 < f.x1 and f.y0 < n.v1 and n.v0 < f.y1 group by k")
 def countries_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = S.box_join(A.footprints(spark, sf_dir), A.boxes_of_nations(spark, sf_dir), 10.0)
+    j = S.box_join(S.split_antimeridian(A.footprints(spark, sf_dir)), A.boxes_of_nations(spark, sf_dir), 10.0)
     return j.groupBy("k").agg(F.array_join(F.sort_array(F.collect_set("name")), ", ").alias("countries"))
 
 

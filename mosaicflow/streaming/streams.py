@@ -18,30 +18,45 @@ def cycle_windows(stream: DataFrame, time: str, keys: list[str], value: str, day
     return stream.withWatermark(time, late).groupBy(F.window(time, f"{days} days", startTime=start), *keys).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
 
 
+#: Buckets of an upsert sink's table; a batch rewrites only those that its keys fall into.
+UPSERT_BUCKETS = 64
+
+
+def versions(spark, path: str) -> dict[int, dict[int, str]]:  # noqa: ANN001
+    """bucket -> version -> folder of what an upsert sink has written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out: dict[int, dict[int, str]] = {}
+    for s in (system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v*/bucket=*")) or []) if system.exists(root) else []:
+        at = s.getPath()
+        out.setdefault(int(at.getName().removeprefix("bucket=")), {})[int(at.getParent().getName()[1:])] = at.toString()
+    return out
+
+
 def upsert_sink(spark_view: str, keys: list[str], path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that keeps the newest row of each key under path, one version a batch; a batch that comes
-    twice writes the same version again. It reads the version before its own, so no state is held between batches."""
+    """A foreachBatch function that keeps the newest row of each key under path, in buckets of the keys' hash.
+
+    Batch n writes folder v<n> with the buckets that its keys fall into: their newest rows before it and its own. A batch
+    that comes twice writes the same again; no state is held between batches.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn("batch__", F.lit(number))
-        fs = spark._jvm.org.apache.hadoop.fs.Path(path)
-        system = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        had = [int(s.getPath().getName()[1:]) for s in system.listStatus(fs)] if system.exists(fs) else []
-        before = [v for v in had if v < number]
+        rows = batch.withColumn("batch__", F.lit(number)).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(UPSERT_BUCKETS)).cast("int"))
+        touched = [r[0] for r in rows.select("bucket").distinct().collect()]
+        before = [max((v, f) for v, f in have.items() if v < number)[1] for b, have in versions(spark, path).items() if b in touched and min(have) < number]
         if before:
-            rows = rows.unionByName(spark.read.parquet(f"{path}/v{max(before)}"))
-        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), "batch__").alias("r")).select("r.*")
-        newest.write.mode("overwrite").parquet(f"{path}/v{number}")
+            rows = rows.unionByName(spark.read.schema(rows.drop("bucket").schema).parquet(*before).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(UPSERT_BUCKETS)).cast("int")))
+        newest = rows.groupBy("bucket", *keys).agg(F.max_by(F.struct(*rows.columns), "batch__").alias("r")).select("r.*")
+        newest.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/v{number}")
 
     write.view = spark_view
     return write
 
 
 def latest_version(spark, path: str) -> DataFrame:  # noqa: ANN001
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(fs)]
-    return spark.read.parquet(f"{path}/v{max(int(n[1:]) for n in names)}").drop("batch__")
+    """The newest rows of all keys: each bucket's last version."""
+    return spark.read.parquet(*[have[max(have)] for have in versions(spark, path).values()]).drop("batch__")
 
 
 def job_states(lines: DataFrame) -> DataFrame:

@@ -11,23 +11,32 @@ from mosaicflow.operators import catalogue, cover, raster, regions, runs, spatia
 
 
 def plain_cover(masks, fill, bw, mixed, forced, cells, share, target):
-    covered, picks = set(), []
+    """The rule in its words: forced picks first, as they come. Then tier by tier, main catalogues before fill-ins and wide
+    bands before narrow ones: take whichever observation opens most cells, half a cell less for mixed ones, of equals the
+    last with unmixed ones before mixed ones, until none opens enough (a share of all cells; four where gaps are filled)."""
+    everything = set(range(cells))
+    open_cells = everything | set().union(*masks)
+    picks = []
+
+    def take(k):
+        picks.append((k, len(open_cells & masks[k])))
+        open_cells.difference_update(masks[k])
+
     for k in forced:
-        picks.append((k, len(masks[k] - covered)))
-        covered |= masks[k]
-    least = max(int(share * cells), 1)
+        take(k)
+    enough = 4 if target is not None else max(1, int(share * cells))
     if target is not None:
-        covered, least = set(range(cells)) - target, 4
-    for tier in sorted({(fill[k], -bw[k]) for k in range(len(masks)) if k not in forced}):
-        left = [k for k in range(len(masks)) if k not in forced and (fill[k], -bw[k]) == tier]
-        left.sort(key=lambda k: mixed[k])
-        while left:
-            best = max((len(masks[k] - covered) - (0.5 if mixed[k] else 0), i) for i, k in enumerate(left))
-            if best[0] < least:
-                break
-            k = left.pop(best[1])
-            picks.append((k, len(masks[k] - covered)))
-            covered |= masks[k]
+        open_cells.clear()
+        open_cells.update(target)
+    free = [k for k in range(len(masks)) if k not in forced]
+    for tier in sorted({(fill[k], -bw[k]) for k in free}):
+        own = [k for flag in (False, True) for k in free if (fill[k], -bw[k]) == tier and bool(mixed[k]) is flag]
+        gain = lambda k: len(open_cells & masks[k]) - 0.5 * bool(mixed[k])
+        while own and max(map(gain, own)) >= enough:
+            best = max(map(gain, own))
+            choice = next(k for k in reversed(own) if gain(k) == best)
+            own.remove(choice)
+            take(choice)
     return picks
 
 
