@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes that an Arrow batch holds; the kernels cut longer ones again.
@@ -92,6 +93,17 @@ def cleaned(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(CLEAN, before)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df with a number for each row as a column of this name, the same whenever and wherever the row is read.
+
+    Rows of a plain file table are numbered by their split and place, which do not change while its DataFrame lives; any
+    other plan might give its rows in another order the next time, so its rows are stored first.
+    """
+    out = df.withColumn(name, F.monotonically_increasing_id())
+    plain = df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    return out if plain else stored(out, "numbered")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_stored, stored, table, unused
+from .common import drop_stored, numbered, stored, table, unused
 
 THRESHOLD, QUARTERS, HOT = 1, 4, 64
 BITS = 26
@@ -228,9 +228,9 @@ def report(docs: DataFrame) -> DataFrame:
 def drop_lines(docs: DataFrame) -> DataFrame:
     """docs without the lines that line_report removes, row by row, ids or none; all other columns stay as they are."""
     number, gone = unused(docs, "rid", "gone")
-    own = stored(docs.withColumn(number, F.monotonically_increasing_id()), "lines-docs")
+    own = numbered(docs, number)
     text = F.col("text").cast("string")
-    # rows are told apart by their own number in the stored table, whatever their ids
+    # rows are told apart by their own number, whatever their ids
     told = report(own.select(F.struct("doc_id", number).alias("doc_id"), text.alias("text"))).filter("n_removed > 0")
     told = told.select(F.col(f"doc_id.{number}").alias(number), F.split("removed_lines", ",").cast("array<int>").alias(gone))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(gone, i)), "\n")

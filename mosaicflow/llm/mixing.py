@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import kernels as K
-from .common import small_batches, stored, table, unused
+from .common import numbered, small_batches, stored, table, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS, SHARD_SLOTS, SEED = 64, 4096, 20240
@@ -177,7 +177,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     names = docs.columns
     row, taken = unused(docs, "row_number", "spans")
-    own = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
+    own = numbered(docs, row)
     base = sized(own, F.col(row))
     _, spans = mix(base)
     runs = spans.groupBy(F.col("rid").alias(row)).agg(F.sort_array(F.collect_list(F.struct("epoch", "w0", "w1"))).alias(taken))

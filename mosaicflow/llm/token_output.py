@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import kernels as K
-from .common import new_path, small_batches, table
+from .common import cleaned, new_path, small_batches, table
 from .tokens import ENCODE_BYTES, encoder_of
 
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
@@ -53,15 +53,16 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None =
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = END_ID, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Encode all documents and write them in ascending id order (null ids first): file by file, each a range of ids."""
     ordered = docs.select(F.col(id_col), F.col(text_col)).repartitionByRange(id_col).sortWithinPartitions(id_col)
-    (
-        encode_documents(ordered, tokenizer_path, end_id, id_col, text_col)
-        .write.option("compression", "zstd")
-        .option("parquet.enable.dictionary", "true")
-        .option("parquet.block.size", str(ROW_GROUP_BYTES))
-        .option("parquet.page.size", str(PAGE_BYTES))
-        .option("parquet.page.row.count.limit", str(PAGE_ROWS))
-        .parquet(path)
-    )
+    with cleaned(docs.sparkSession):
+        (
+            encode_documents(ordered, tokenizer_path, end_id, id_col, text_col)
+            .write.option("compression", "zstd")
+            .option("parquet.enable.dictionary", "true")
+            .option("parquet.block.size", str(ROW_GROUP_BYTES))
+            .option("parquet.page.size", str(PAGE_BYTES))
+            .option("parquet.page.row.count.limit", str(PAGE_ROWS))
+            .parquet(path)
+        )
     return path
 
 
