@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mosaicflow.llm.common import drop_path, new_path, stored, table, unused
+from mosaicflow.llm.common import drop_path, new_path, numbered, stored, table, unused
 from mosaicflow.llm.decontaminate import contamination
 from mosaicflow.llm.language import UNKNOWN, fit, predict, train_rows
 from mosaicflow.llm.minhash import near_duplicates
@@ -43,7 +43,7 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Ids may be null (last) or repeated, of rows of one id the first stays. Rows without words are near nothing and stay.
     """
     (row,) = unused(docs, "row_number")
-    own = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    own = numbered(docs, row)
     groups = near_duplicates(own.select(F.col(row).alias("doc_id"), "text"))
     # rows of groups of two or more; the smallest id of each is found before rows are brought together
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)
@@ -58,7 +58,7 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that are not contaminated by the benchmark; null and empty texts stay."""
     (row,) = unused(docs, "row_number")
-    own = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    own = numbered(docs, row)
     bad = contamination(own, table(spark, sf_dir, "benchmark"), [row]).filter("contaminated").select(row)
     return own.join(bad, row, "left_anti").select(*docs.columns)
 
