@@ -56,6 +56,11 @@ def split_antimeridian(df: DataFrame, x0: str = "x0", x1: str = "x1") -> DataFra
     return df.withColumn("piece__", F.explode(pieces)).withColumn(x0, F.col("piece__.a")).withColumn(x1, F.col("piece__.b")).drop("piece__")
 
 
+def hemisphere(df: DataFrame, north: bool, y0: str = "y0", y1: str = "y1") -> DataFrame:
+    """Boxes of which some part lies in this hemisphere; one over the equator lies in both."""
+    return df.filter(F.col(y1) > 0) if north else df.filter(F.col(y0) < 0)
+
+
 def box_join(left: DataFrame, right: DataFrame, bucket: float, closed: bool = False) -> DataFrame:
     """Pairs of boxes (x0, y0, x1, y1 on the left; u0, v0, u1, v1 on the right) that overlap, each pair once.
 

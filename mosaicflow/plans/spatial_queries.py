@@ -63,6 +63,14 @@ def antimeridian_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.split_antimeridian(A.footprints(spark, sf_dir)).select("k", "x0", "x1", "y0", "y1")
 
 
+@query(f"with {A.FOOTPRINTS} select k, y1 > 0 as north, y0 < 0 as south from footprints")
+def hemispheres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each footprint which hemispheres' catalogues have it."""
+    f = A.footprints(spark, sf_dir)
+    both = S.hemisphere(f, True).select("k", F.lit("north").alias("side")).union(S.hemisphere(f, False).select("k", F.lit("south")))
+    return both.groupBy("k").agg(F.bool_or(F.col("side") == "north").alias("north"), F.bool_or(F.col("side") == "south").alias("south"))
+
+
 CELLS = "pc as (select k, c, unnest(range(cast(floor(x0 / 2) as bigint), cast(ceil(x1 / 2) as bigint))) as cx, y0, y1 from pieces), cells as (select k, c, cx, unnest(range(cast(floor(y0 / 2) as bigint), cast(ceil(y1 / 2) as bigint))) as cy from pc)"
 
 

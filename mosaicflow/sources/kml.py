@@ -46,3 +46,8 @@ def lift(tiles: DataFrame, altitude: float = 10.0) -> DataFrame:
     base = F.regexp_replace("href", r"\.[^.]*$", "")
     both = F.concat(o(F.concat(base, F.lit(".land.png")), None), o(F.concat(base, F.lit(".sea.png")), altitude))
     return tiles.withColumn("text", F.when(F.col("kind") == "sea", o(F.col("href"), altitude)).when(F.col("kind") == "split", both).otherwise(o(F.col("href"), None)))
+
+
+def unlift(tiles: DataFrame) -> DataFrame:
+    """What lift has changed as it was: each tile's one overlay on the ground, whatever its kind."""
+    return tiles.withColumn("text", overlay(F.col("href"), *[F.col(c) for c in ("north", "south", "east", "west", "draw_order")], None))

@@ -61,6 +61,9 @@ def test_features_and_documents(spark, tmp_path):
     assert "<name>new</name><name>y</name>" in text
     lifted = kml.lift(kml.read_overlays(spark, str(tmp_path / "1.kml")).withColumn("kind", F.lit("split"))).first().text
     assert lifted.count("<GroundOverlay>") == 2 and lifted.count("<altitude>") == 1 and "1.sea.png" in lifted
+    tiles = kml.read_overlays(spark, str(tmp_path / "1.kml")).withColumn("kind", F.lit("split"))
+    plain = kml.lift(tiles.withColumn("kind", F.lit("land"))).first().text
+    assert kml.unlift(kml.lift(tiles)).first().text == plain and "altitude" not in plain
 
 
 def test_remote_file_reads_runs_of_blocks():
