@@ -23,10 +23,6 @@ def lon_margin(lat: Column, km: float, floor: float = 0.02, most: float | None =
     return out if most is None else F.least(out, F.lit(most))
 
 
-def ceil_div(v: Column) -> Column:
-    return F.ceil(v)
-
-
 def lonlat_grid(w: Column, s: Column, e: Column, n: Column, res: float, lon_mult: Column, feather_km: float) -> Column:
     """struct(epsg, dx, dy, x0, y0, nx, ny, fl) of a lat/lon tile with its feather margin."""
     dx, dy = F.lit(res) * lon_mult, F.lit(res)

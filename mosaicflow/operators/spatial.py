@@ -142,7 +142,3 @@ def outline(df: DataFrame, segments: int = 12) -> DataFrame:
     side = lambda ax, ay, bx, by: F.transform(t, lambda k: F.struct((F.col(ax) + (F.col(bx) - F.col(ax)) * k / segments).cast("double").alias("x"), (F.col(ay) + (F.col(by) - F.col(ay)) * k / segments).cast("double").alias("y")))
     ring = F.concat(side("x0", "y0", "x1", "y0"), side("x1", "y0", "x1", "y1"), side("x1", "y1", "x0", "y1"), side("x0", "y1", "x0", "y0"))
     return df.withColumn("ring", F.concat(ring, F.slice(ring, F.lit(1), F.lit(1))))
-
-
-def first_hit(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return df.withColumn("n__", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("n__ = 1").drop("n__")

@@ -37,11 +37,6 @@ def temporal_statistics(df: DataFrame, keys: list[str], cycle: str, value: str,
     return moments(cycle_means(df, keys, cycle, value), keys, min_count)
 
 
-def block_sums(df: DataFrame, x: str, y: str, step: int, value: str, keys: list[str]) -> DataFrame:
-    """Sums and counts of blocks snapped to multiples of step."""
-    return df.groupBy(*keys, F.floor(F.col(x) / step).alias("bx"), F.floor(F.col(y) / step).alias("by")).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
-
-
 def weighted_mean(df: DataFrame, keys: list[str], value: str, weight: str) -> DataFrame:
     """Overlapping frames meet weighted by their number of cycles."""
     return df.filter(F.col(value).isNotNull() & (F.col(weight) > 0)).groupBy(*keys).agg((F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias("mean"), F.sum(weight).alias("weight"))
