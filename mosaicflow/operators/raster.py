@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .spatial import box_cells
+
 
 def block_mean(df: DataFrame, k: int, keys: list[str], values: list[str], height: int | None = None, width: int | None = None) -> DataFrame:
     """Means of k x k blocks over cells with data; ragged blocks at the far edges are left out when sizes are given.
@@ -115,3 +117,18 @@ def close(cells: DataFrame, keys: list[str], rounds: int = 1) -> DataFrame:
     for _ in range(rounds):
         cells = erode(cells, keys)
     return cells
+
+
+#: Colours of planned and failed tiles in the overview.
+PLANNED, FAILED = (170, 200, 235), (220, 40, 40)
+
+
+def overview(tiles: DataFrame, data: DataFrame, size: float) -> DataFrame:
+    """cx, cy, r, g, b of a run's overview, in cells of `size` degrees: planned tiles pale, failed ones red, data grey.
+
+    tiles: x0, y0, x1, y1, failed. data: x, y, grey of samples; a cell's grey is their mean, and data lies over tiles.
+    """
+    planned = box_cells(tiles, size, touched=False).groupBy("cx", "cy").agg(F.bool_or("failed").alias("failed"))
+    grey = data.groupBy(F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy")).agg(F.floor(F.avg("grey")).cast("int").alias("grey"))
+    both = planned.join(grey, ["cx", "cy"], "full")
+    return both.select("cx", "cy", *[F.coalesce("grey", F.when(F.col("failed"), FAILED[i]).otherwise(PLANNED[i])).alias(c) for i, c in enumerate("rgb")])

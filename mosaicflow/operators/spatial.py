@@ -114,20 +114,20 @@ def in_polygon(x: Column, y: Column, ring: Column) -> Column:
     return F.size(F.filter(sides, lambda s: F.coalesce(crosses(s), F.lit(False)))) % 2 == 1
 
 
-def nearest(points: DataFrame, places: DataFrame, reach: float, place_columns: list[str], widest: float = 500.0) -> DataFrame:
-    """pid, d, place_id and place_columns of the nearest place (place_id, px, py) of each point (pid, x, y); ties by place_id.
+def nearest_box(points: DataFrame, boxes: DataFrame, reach: float, columns: list[str], ident: str, widest: float = 500.0) -> DataFrame:
+    """pid, d, ident and columns of the nearest box (ident, u0, v0, u1, v1) of each point (pid, x, y); ties by ident.
 
-    Squares about points are searched: a place no further than the square's half width is nearest for certain. Points
-    without one go on, from a written table, with squares three times as wide; the last round takes what it finds. No
-    pair of a point and a far place is built before that, and most points end in the first round.
+    The distance is 0 inside a box. Squares about points are searched: a box no further than the square's half width is
+    nearest for certain. Points without one go on, from a written table, with squares three times as wide; the last round
+    takes what it finds. No pair of a point and a far box is built before that, and most points end in the first round.
     """
     out, left = None, points.select("pid", "x", "y")
+    away = lambda p, lo, hi: F.greatest(F.col(lo) - F.col(p), F.col(p) - F.col(hi), F.lit(0.0))
     while True:
         last = reach >= widest
         p = left.withColumns({"x0": F.col("x") - reach, "y0": F.col("y") - reach, "x1": F.col("x") + reach, "y1": F.col("y") + reach})
-        q = places.withColumns({"u0": F.col("px"), "v0": F.col("py"), "u1": F.col("px"), "v1": F.col("py")})
-        near = box_join(p, q, reach, closed=True).withColumn("d", F.sqrt(F.pow(F.col("x") - F.col("px"), 2) + F.pow(F.col("y") - F.col("py"), 2)))
-        best = near.groupBy("pid").agg(F.min_by(F.struct("d", "place_id", *place_columns), F.struct("d", "place_id")).alias("b"))
+        near = box_join(p, boxes, reach, closed=True).withColumn("d", F.sqrt(F.pow(away("x", "u0", "u1"), 2) + F.pow(away("y", "v0", "v1"), 2)))
+        best = near.groupBy("pid").agg(F.min_by(F.struct("d", ident, *columns), F.struct("d", ident)).alias("b"))
         found = stored((best if last else best.filter(F.col("b.d") <= reach)).select("pid", "b.*"))
         out = found if out is None else out.unionByName(found)
         left = stored(left.join(found.select("pid"), "pid", "left_anti"))
@@ -136,9 +136,51 @@ def nearest(points: DataFrame, places: DataFrame, reach: float, place_columns: l
         reach *= 3
 
 
+def nearest(points: DataFrame, places: DataFrame, reach: float, place_columns: list[str], widest: float = 500.0) -> DataFrame:
+    """The same of the nearest place (place_id, px, py): a place is a box without extent."""
+    boxes = places.withColumns({"u0": F.col("px"), "v0": F.col("py"), "u1": F.col("px"), "v1": F.col("py")})
+    return nearest_box(points, boxes, reach, place_columns, "place_id", widest)
+
+
+def touched_or_nearest(df: DataFrame, key: str, boxes: DataFrame, ident: str, label: str, bucket: float) -> DataFrame:
+    """key and the sorted labels, comma-joined, of the boxes that each row of df (key, x0, y0, x1, y1 and a point x, y in
+    it) overlaps; where there are none, the label of the box nearest to the point. Rows of df are split already."""
+    hit = box_join(df, boxes, bucket).groupBy(key).agg(F.array_join(F.sort_array(F.collect_set(label)), ", ").alias(label))
+    hit = stored(hit)
+    rest = df.join(hit.select(key), key, "left_anti").groupBy(key).agg(F.min_by(F.struct("x", "y"), F.struct("x", "y")).alias("p"))
+    near = nearest_box(rest.select(F.col(key).alias("pid"), "p.x", "p.y"), boxes, bucket, [label], ident)
+    return hit.unionByName(near.select(F.col("pid").alias(key), label))
+
+
 def outline(df: DataFrame, segments: int = 12) -> DataFrame:
     """df with ring: the box's outline, each side in so many pieces, closed."""
     t = F.sequence(F.lit(0), F.lit(segments - 1))
     side = lambda ax, ay, bx, by: F.transform(t, lambda k: F.struct((F.col(ax) + (F.col(bx) - F.col(ax)) * k / segments).cast("double").alias("x"), (F.col(ay) + (F.col(by) - F.col(ay)) * k / segments).cast("double").alias("y")))
     ring = F.concat(side("x0", "y0", "x1", "y0"), side("x1", "y0", "x1", "y1"), side("x1", "y1", "x0", "y1"), side("x0", "y1", "x0", "y0"))
     return df.withColumn("ring", F.concat(ring, F.slice(ring, F.lit(1), F.lit(1))))
+
+
+def region_boxes(land: DataFrame, shelves: DataFrame | None = None, apart: tuple[str, ...] = ("Greenland",), south_ice: float = 60.0, north_ice: float = 60.0, mask: DataFrame | None = None) -> DataFrame:
+    """region and box (x0, y0, x1, y1) of what histograms are split by: continents, countries that stand apart, all land,
+    and the sea ice zone, which is the mask's boxes or, without one, the ocean poleward of two latitudes.
+
+    land: country, continent and box. Ice shelves belong to Antarctica and to land.
+    """
+    box = ["x0", "y0", "x1", "y1"]
+    own = land.select(F.when(F.col("country").isin(*apart), F.col("country")).otherwise(F.col("continent")).alias("region"), *box)
+    out = own.unionByName(land.select(F.lit("land").alias("region"), *box))
+    if shelves is not None:
+        out = out.unionByName(shelves.select(F.explode(F.array(F.lit("Antarctica"), F.lit("land"))).alias("region"), *box))
+    if mask is not None:
+        return out.unionByName(mask.select(F.lit("sea ice (mask)").alias("region"), *box))
+    zones = [(f"ocean S of {south_ice:g}S", -180.0, -90.0, 180.0, -south_ice), (f"ocean N of {north_ice:g}N", -180.0, north_ice, 180.0, 90.0)]
+    return out.unionByName(land.sparkSession.createDataFrame(zones, "region string, x0 double, y0 double, x1 double, y1 double"))
+
+
+def region_cells(regions: DataFrame, cell: float) -> DataFrame:
+    """region, cx, cy by the centre rule, each cell once a region; ice and ocean regions leave out the cells of land."""
+    cells = box_cells(split_antimeridian(regions), cell, touched=False).select("region", "cx", "cy").distinct()
+    land = cells.filter("region = 'land'").select("cx", "cy", F.lit(True).alias("on_land"))
+    joined = cells.join(land, ["cx", "cy"], "left")
+    wet = F.col("region").startswith("ocean ") | F.col("region").startswith("sea ice")
+    return joined.filter(~(wet & F.coalesce("on_land", F.lit(False)))).select("region", "cx", "cy")

@@ -100,7 +100,7 @@ def forced_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.forced_picks(keep, candidates, u.select("name", "bw"), ["bw"])
 
 
-PICKS = "picks as (select 'T' || (k % 60) as tile, k as seq, name, freq, pol, bw from usable)"
+PICKS = "picks as (select 'T' || (k % 60) as tile, k as seq, name, freq, pol, bw, st from usable)"
 
 
 def picks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,9 +112,10 @@ def job_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.job_groups(picks(spark, sf_dir)).select("tile", "freq", "term", F.size("files").cast("long").alias("n"), F.md5(F.array_join("files", ",")).alias("files"))
 
 
-@query(f"with {A.GRANULES}, {A.PARSED}, {PICKS} select tile, freq, case when pol in ('SH', 'DH', 'QP') then 'HH' else 'VV' end as term, md5(string_agg('/vsicurl/' || case when seq % 3 = 0 then 'https://data.example/' || name || '.h5' else '' end, ',' order by seq)) as paths from picks group by all")
+@query(f"with {A.GRANULES}, {A.PARSED}, {PICKS} select tile, freq, case when pol in ('SH', 'DH', 'QP') then 'HH' else 'VV' end as term, md5(string_agg('/vsicurl/' || case when st <> 'O' then 'https://data.example/' || name || '.h5' else '' end, ',' order by seq)) as paths from picks group by all")
 def job_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urls = A.granules(spark, sf_dir).filter("k % 3 = 0")
+    """Of all picks; those whose order is open are not in the catalogue any more and have no address."""
+    urls = A.granules(spark, sf_dir).filter("st <> 'O'")
     out = resolved_jobs(C.job_groups(picks(spark, sf_dir)), urls, "vsicurl")
     return out.select("tile", "freq", "term", F.md5(F.array_join("paths", ",")).alias("paths"))
 
@@ -132,10 +133,10 @@ def picks_by_bandwidth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("tile", get(5), get(20), get(40), get(77), "used", "wide")
 
 
-@query(f"with {A.GRANULES}, {A.PARSED}, f as (select distinct array_to_string([track, frame, string_split(name, '_')[9]], '_') as fk, direction as d from usable where k % 20 = 0), g as (select *, array_to_string([track, frame, string_split(name, '_')[9]], '_') as fk from usable) select g.fk as frame_key, direction, cycle, count(*) as n, md5(string_agg(name, ',' order by name)) as names from g join f on g.fk = f.fk and direction = d group by all")
+@query(f"with {A.GRANULES}, {A.PARSED}, f as (select distinct array_to_string([track, frame, string_split(name, '_')[9]], '_') as fk, direction as d from usable where st = 'P'), g as (select *, array_to_string([track, frame, string_split(name, '_')[9]], '_') as fk from usable) select g.fk as frame_key, direction, cycle, count(*) as n, md5(string_agg(name, ',' order by name)) as names from g join f on g.fk = f.fk and direction = d group by all")
 def frame_stacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = usable(spark, sf_dir).withColumn("frame_key", N.frame_key(F.col("name")))
-    return C.stack_frames(g.filter("k % 20 = 0"), g).withColumn("names", F.md5(F.array_join("names", ",")))
+    return C.stack_frames(g.filter("st = 'P'"), g).withColumn("names", F.md5(F.array_join("names", ",")))
 
 
 @query(f"with {A.GRANULES} select name, case when k % 3 = 0 then 'valid' when k % 2 = 0 then 'main' else 'fill' end as geom from granules where k % 3 = 0 or k % 2 = 0 or k % 5 = 0")
@@ -164,10 +165,10 @@ def retryable_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", N.is_retryable(message).alias("again"))
 
 
-@query(f"with {A.GRANULES} select name from granules where k % 7 <> 0 and k % 3 = 0")
+@query(f"with {A.GRANULES} select name from granules where name not in (select name from granules where st = 'F')")
 def resume_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = A.granules(spark, sf_dir)
-    return g.filter("k % 3 = 0").select("name").join(g.filter("k % 7 = 0").select("name"), "name", "left_anti")
+    return g.select("name").join(g.filter("st = 'F'").select("name"), "name", "left_anti")
 
 
 @query(f"with {A.GRANULES}, {A.PARSED}, {PICKS} select tile, case when cast(substr(tile, 2) as int) % 5 = 0 then 'new' when max((seq % 400 = 0)::int) = 1 then 'changed' else 'same' end as state from picks group by tile")

@@ -53,10 +53,10 @@ def blocks_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.from_blocks(T.to_blocks(p, ["tile"], 16), ["tile"], 16)
 
 
-@query(f"with {A.GRANULES}, {A.PARSED}, g as (select *, array_to_string([track, frame, string_split(name, '_')[9]], '_') as fk, 'T' || (k % 60) as tile from usable), o as (select distinct fk from g where k % 4 = 0), t as (select distinct tile, fk from g where k % 2 = 0 and fk in (select fk from o)) select tile, md5(string_agg(fk, ',' order by fk)) as frames, count(*) as n from t group by tile")
+@query(f"with {A.GRANULES}, {A.PARSED}, g as (select *, array_to_string([track, frame, string_split(name, '_')[9]], '_') as fk, 'T' || (k % 60) as tile from usable), o as (select distinct fk from g where st = 'F'), t as (select distinct tile, fk from g where fk in (select fk from o)) select tile, md5(string_agg(fk, ',' order by fk)) as frames, count(*) as n from t group by tile")
 def frames_of_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = usable(spark, sf_dir).withColumn("frame_key", N.frame_key(F.col("name"))).withColumn("tile", F.expr("concat('T', k % 60)"))
-    out = T.tile_frames(g.filter("k % 2 = 0"), g.filter("k % 4 = 0"))
+    out = T.tile_frames(g, g.filter("st = 'F'"))
     return out.select("tile", F.md5(F.array_join("frames", ",")).alias("frames"), F.size("frames").cast("long").alias("n"))
 
 
