@@ -53,14 +53,14 @@ def polygon_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("name", six("area", "area"), six("c.x", "cx"), six("c.y", "cy"), six("p.x", "inner_x"), six("p.y", "inner_y"), six("e.east", "east"))
 
 
-@query(f"""with {A.PIXELS}, c as (select tile, row, col from pixels where like100 < -1500), s as (select unnest([0, 1]) as d),
+@query(f"""with {A.PIXELS}, c as (select tile, row, col from pixels where like100 > -100), s as (select unnest([0, 1]) as d),
 v as (select tile, row + a.d as vr, col + b.d as vc, sum(1 << (2 * a.d + b.d)) as m from c, s a, s b group by all),
 n as (select tile, sum(case when m in (6, 9) then 2 when m in (1, 2, 4, 8, 7, 11, 13, 14) then 1 else 0 end)::bigint as corners from v group by tile),
 b as (select tile, sum(n % 2)::bigint as perimeter from (select tile, k, r, q, count(*) as n from (select tile, 'h' as k, row + d as r, col as q from c, s union all select tile, 'v', row, col + d from c, s) group by all) group by tile)
 select tile, cast(count(*) as double) as area, max(perimeter)::double as perimeter, max(corners)::bigint as corners from c join n using (tile) join b using (tile) group by tile""")
 def cell_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outlines of each tile's dark cells: what they enclose is the cells, how long they are, how many corners they have."""
-    out = P.outlines_of_cells(A.pixels(spark, sf_dir).filter("like100 < -1500"), ["tile"])
+    """Outlines of each tile's bright cells: what they enclose is the cells, how long they are, how many corners they have."""
+    out = P.outlines_of_cells(A.pixels(spark, sf_dir).filter("like100 > -100"), ["tile"])
     length = lambda r: P.total(P.sides(r, lambda a, b: F.abs(b["x"] - a["x"]) + F.abs(b["y"] - a["y"])))
     each = lambda f: P.total(F.transform("rings", f))
     return out.select("tile", each(G.shoelace).alias("area"), each(length).alias("perimeter"), each(lambda r: (F.size(r) - 1).cast("double")).cast("long").alias("corners"))

@@ -5,6 +5,8 @@ Sentinels and NaN become NULL here. Nothing but Spark's readers touches a path,
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,3 +126,19 @@ def picture_place(row: Column, col: Column, height: int, width: int, extent: tup
 def big_layers(layers: DataFrame, least_cells: int = 1_000_000) -> DataFrame:
     """Of a file's layers (file, layer, dims, cells, dtype, stored) the 2-D real or complex ones of some size, largest on disk first."""
     return layers.filter((F.col("dims") == 2) & (F.col("cells") >= least_cells) & F.col("dtype").rlike("^(float|complex)")).orderBy(F.desc("stored"))
+
+
+def read_bands(path: str) -> list[tuple[int, int, int, int, int]]:
+    """Rows of a band table for lonlat_tiles, from a JSON array of (south, north, height, width, longitude factor).
+
+    Bands must not overlap, and a band's height and 360 must be whole numbers of its tiles.
+    """
+    with open(path, encoding="utf-8") as f:
+        bands = sorted(tuple(int(v) for v in row) for row in json.load(f))
+    for lat0, lat1, high, wide, factor in bands:
+        if not (-90 <= lat0 < lat1 <= 90 and high > 0 and wide > 0 and factor > 0 and (lat1 - lat0) % high == 0 and 360 % wide == 0):
+            raise ValueError(f"not a band of tiles: {(lat0, lat1, high, wide, factor)}")
+    for below, above in zip(bands, bands[1:], strict=False):
+        if above[0] < below[1]:
+            raise ValueError(f"bands overlap: {below} and {above}")
+    return bands

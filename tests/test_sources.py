@@ -169,6 +169,10 @@ def test_array_blocks_of_local_files(spark, tmp_path):
     got = spark.read.format("array-blocks").option("files", str(tmp_path / "a.bin")).option("layers", "v").option("block", 8).load()
     assert sorted((r.row0, r.col0, r.rows, r.cols) for r in got.collect()) == [(0, 0, 8, 8), (0, 8, 8, 8), (8, 0, 2, 8), (8, 8, 2, 8)]
     assert got.selectExpr("sum(aggregate(values, 0D, (s, x) -> s + x))").first()[0] == 159 * 80
+    both = f"{tmp_path / 'a.bin'},{tmp_path / 'gone.bin'}"
+    rows = spark.read.format("array-blocks").option("files", both).option("layers", "v").option("errors", "column").load().collect()
+    assert [(r.file, r.rows, r.cols) for r in rows if not r.error] == [(str(tmp_path / "a.bin"), 10, 16)]
+    assert [(r.file, r.error.split(":")[0]) for r in rows if r.error] == [(str(tmp_path / "gone.bin"), "FileNotFoundError")]
 
 
 def test_search_reads_its_cache(spark, tmp_path):
