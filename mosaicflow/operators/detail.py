@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import raster as X
-from . import stats as S
 
 
 def resample(df: DataFrame, keys: list[str], place: Callable[[Column, Column], Column], cell: float, value: str) -> DataFrame:
@@ -45,22 +44,19 @@ def map_boundary(spark, place: Callable[[Column, Column], Column], n_lat: int =
     return spark.range(n).select(k.alias("seq"), place(x, y).alias("p")).select("seq", "p.x", "p.y")
 
 
-def level_of_detail(df: DataFrame, keys: list[str], smooth: int, height: int, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(land, detail, rest) sources of a pyramid from a full grid (keys, row, col, v, land, detail, ice).
+def level_of_detail(df: DataFrame, keys: list[str], smooth: int, height: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """(land, full) sources of a pyramid from a full grid (keys, row, col, v, land, detail, ice).
 
-    land: 2 x 2 means of all data, smoothed; detail: cells of the detail set, without ice-sheet interiors (ice 2) and
-    with their margins (ice 1) on land; rest: the other land cells, no interiors. The last two keep full resolution.
+    land: 2 x 2 means of all data, smoothed. full: cells at full resolution with source, which is detail for those of the
+    detail set, without ice-sheet interiors (ice 2) and with their margins (ice 1) on land, and rest for the other land
+    cells, no interiors. Both full sources come from one scan.
     """
     half = X.block_mean(df, 2, keys, ["v"], height, width)
     land = X.smooth(half, keys, smooth).select(*keys, "row", "col", "v", "smooth") if smooth > 1 else half.select(*keys, "row", "col", "v")
-    det = ((F.col("detail") & (F.col("ice") != 2)) | ((F.col("ice") == 1) & F.col("land"))) & F.col("v").isNotNull()
-    marked = df.withColumn("d__", det)
-    rest = marked.filter(F.col("land") & F.col("v").isNotNull() & ~F.col("d__") & (F.col("ice") != 2))
-    return land, marked.filter("d__").select(*keys, "row", "col", "v"), rest.select(*keys, "row", "col", "v")
-
-
-def extent_of(df: DataFrame, keys: list[str]) -> DataFrame:
-    return S.data_extent(df, keys, "row", "col", F.col("v").isNotNull())
+    inner = F.col("ice") == 2
+    source = F.when((F.col("detail") & ~inner) | ((F.col("ice") == 1) & F.col("land")), "detail").when(F.col("land") & ~inner, "rest")
+    full = df.filter(F.col("v").isNotNull()).select(*keys, "row", "col", "v", source.alias("source")).filter(F.col("source").isNotNull())
+    return land, full
 
 
 def to_blocks(df: DataFrame, keys: list[str], size: int, value: str = "v") -> DataFrame:

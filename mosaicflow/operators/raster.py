@@ -46,7 +46,12 @@ def smooth(df: DataFrame, keys: list[str], n: int, value: str = "v") -> DataFram
 def paint(layers: list[DataFrame], keys: list[str], value: str = "v") -> DataFrame:
     """Painter's union: at each cell the value of the last layer with data there. One aggregate, no chain of joins."""
     rows = reduce(lambda a, b: a.unionByName(b), [t.select(*keys, "row", "col", value, F.lit(i).alias("z")) for i, t in enumerate(layers)])
-    return rows.filter(F.col(value).isNotNull()).groupBy(*keys, "row", "col").agg(F.max_by(value, "z").alias(value))
+    return paint_stack(rows, keys, "z", value)
+
+
+def paint_stack(rows: DataFrame, keys: list[str], z: str, value: str = "v") -> DataFrame:
+    """The same of layers that lie in one table, by their place in a column: one scan, however many there are."""
+    return rows.filter(F.col(value).isNotNull()).groupBy(*keys, "row", "col").agg(F.max_by(value, z).alias(value))
 
 
 def align(reference: DataFrame, other: DataFrame, keys: list[str], d_row: int, d_col: int, value: str) -> DataFrame:
@@ -91,23 +96,22 @@ def class_lookup(points: DataFrame, classes: DataFrame, x0: float, y0: float, si
     return at.join(best, ["ci", "cj"], "left").withColumn("cls", F.coalesce("cls", F.lit(0)))
 
 
-def neighbours(df: DataFrame, eight: bool) -> Column:
-    steps = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0) and (eight or a == 0 or b == 0)]
-    return F.array(*[F.struct((F.col("row") + a).alias("row"), (F.col("col") + b).alias("col")) for a, b in steps])
+def around(cells: DataFrame, keys: list[str], eight: bool) -> DataFrame:
+    """keys, row, col, own: each cell and its neighbours; own marks the cell itself."""
+    steps = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if eight or a == 0 or b == 0]
+    at = F.array(*[F.struct((F.col("row") + a).alias("row"), (F.col("col") + b).alias("col"), F.lit((a, b) == (0, 0)).alias("own")) for a, b in steps])
+    return cells.select(*keys, F.explode(at).alias("c")).select(*keys, "c.row", "c.col", "c.own")
 
 
 def dilate(cells: DataFrame, keys: list[str], eight: bool = True) -> DataFrame:
     """Cells and their neighbours."""
-    near = cells.select(*keys, F.explode(neighbours(cells, eight)).alias("c")).select(*keys, "c.row", "c.col")
-    return cells.select(*keys, "row", "col").unionByName(near).distinct()
+    return around(cells, keys, eight).select(*keys, "row", "col").distinct()
 
 
 def erode(cells: DataFrame, keys: list[str], eight: bool = True) -> DataFrame:
-    """Cells all of whose neighbours are cells."""
-    need = 8 if eight else 4
-    near = cells.select(*keys, F.explode(neighbours(cells, eight)).alias("c")).select(*keys, "c.row", "c.col")
-    votes = near.groupBy(*keys, "row", "col").agg(F.count("*").alias("votes")).filter(F.col("votes") == need)
-    return cells.select(*keys, "row", "col").join(votes.drop("votes"), [*keys, "row", "col"], "left_semi")
+    """Cells all of whose neighbours are cells: those named by themselves and by all about them. Cells are distinct."""
+    votes = around(cells, keys, eight).groupBy(*keys, "row", "col").agg(F.count("*").alias("votes"), F.bool_or("own").alias("own"))
+    return votes.filter(F.col("own") & (F.col("votes") == (9 if eight else 5))).select(*keys, "row", "col")
 
 
 def close(cells: DataFrame, keys: list[str], rounds: int = 1) -> DataFrame:

@@ -41,10 +41,9 @@ LOD = f"with {A.PIXELS}, m as (select tile, row, col, case when like100 <> -3000
 @query(f"{LOD}, x as (select 'detail' as source, * from d where det union all select 'rest', * from d where land and v is not null and not det and ice <> 2) select source, tile, count(*) as cells, cast(sum(v) as bigint) as total, min(row) as r0, max(row) + 1 as r1, min(col) as c0, max(col) + 1 as c1 from x group by source, tile")
 def detail_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = A.pixels(spark, sf_dir).selectExpr("tile", "row", "col", f"if(like100 <> {D.NO_DATA}, like100, null) as v", "col < 40 as land", "row < 30 as detail", "case when (row + col) % 7 = 0 then 2 when (row + col) % 7 = 1 then 1 else 0 end as ice")
-    _, detail, rest = T.level_of_detail(p, ["tile"], 1, 64, 64)
-    rows = detail.withColumn("source", F.lit("detail")).unionByName(rest.withColumn("source", F.lit("rest")))
-    ext = T.extent_of(rows, ["source", "tile"])
-    return rows.groupBy("source", "tile").agg(F.count("*").alias("cells"), F.sum("v").alias("total")).join(ext, ["source", "tile"])
+    _, full = T.level_of_detail(p, ["tile"], 1, 64, 64)
+    spans = [F.min("row").alias("r0"), (F.max("row") + 1).alias("r1"), F.min("col").alias("c0"), (F.max("col") + 1).alias("c1")]
+    return full.groupBy("source", "tile").agg(F.count("*").alias("cells"), F.sum("v").alias("total"), *spans)
 
 
 @query(f"with {A.PIXELS} select tile, row, col, like100 as v from pixels where like100 <> -3000")

@@ -150,7 +150,7 @@ def smoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {A.PIXELS}, z as (select row, col, like100 as v, tile as z from pixels where like100 <> -3000) select row, col, arg_max(v, z) as v from z group by all")
 def painted_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = A.pixels(spark, sf_dir).withColumn("v", F.when(F.col("like100") != D.NO_DATA, F.col("like100")))
-    return X.paint([p.filter(f"tile = {t}") for t in range(4)], [])
+    return X.paint_stack(p, [], "tile")
 
 
 @query(f"with {A.PIXELS}, o as (select tile, row + 3 as row, col - 2 as col, cross100 as other from pixels) select tile, row, col, like100, other from pixels left join o using (tile, row, col)")

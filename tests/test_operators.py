@@ -195,3 +195,27 @@ def test_dilate_and_erode(spark):
     square = spark.createDataFrame([("t", i, j) for i in range(3) for j in range(3) if (i, j) != (1, 1)], "t string, row long, col long")
     assert raster.close(square, ["t"]).count() == 9
     assert raster.erode(square, ["t"]).count() == 0
+
+
+def test_painting_layers_is_painting_their_stack(spark):
+    r = random.Random(1)
+    layers = [[(i, j, None if r.random() < 0.3 else r.randint(0, 99)) for i in range(5) for j in range(5) if r.random() < 0.6] for _ in range(3)]
+    want = {}
+    for rows in layers:
+        want |= {(i, j): v for i, j, v in rows if v is not None}
+    frames = [spark.createDataFrame(rows, "row int, col int, v int") for rows in layers]
+    stack = spark.createDataFrame([(i, j, v, z) for z, rows in enumerate(layers) for i, j, v in rows], "row int, col int, v int, z int")
+    for got in (raster.paint(frames, []), raster.paint_stack(stack, [], "z")):
+        assert {(x.row, x.col): x.v for x in got.collect()} == want
+
+
+def test_erosion_by_plain_loop(spark):
+    r = random.Random(2)
+    cells = {(i, j) for i in range(12) for j in range(12) if r.random() < 0.85}
+    df = spark.createDataFrame([("a", i, j) for i, j in cells], "t string, row int, col int")
+    for eight in (True, False):
+        near = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if eight or not a or not b]
+        grown = {(i + a, j + b) for i, j in cells for a, b in near}
+        left = {(i, j) for i, j in cells if all((i + a, j + b) in cells for a, b in near)}
+        assert left and {(x.row, x.col) for x in raster.erode(df, ["t"], eight).collect()} == left
+        assert {(x.row, x.col) for x in raster.dilate(df, ["t"], eight).collect()} == grown
