@@ -98,13 +98,14 @@ def source_plan(base: DataFrame, block_words: int = BLOCK_WORDS) -> list[dict]:
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(documents, spans) of the mix of docs (rid, doc_id, source, size), rid naming a row.
+    """(documents, spans) of the mix of docs (rid, doc_id, source, size, content), rid naming a row, content its text.
 
     documents: rid, doc_id, size, source_size, target. spans: shard, slot, sid, block, epoch, rid, w0, w1: the words
     w0 to w1 (not included) of row rid stand in this slot of this output shard. Null or empty texts have no words and
     are in no slot; repeated rows are rows of their own; with no rows both are empty. Documents stand in their source
-    by a hash of their id (of rid, where that is null), so running sums go bucket by bucket, with more buckets for more
-    rows, and one source of any size is dealt over all tasks.
+    by a hash of their id (of their content, where that is null), those of one id by content, so the mix does not hang on
+    where rows are stored; only rows of one id and one text follow rid, and for the mix they are alike. Running sums go
+    bucket by bucket, with more buckets for more rows, and one source of any size is dealt over all tasks.
     """
     spark = docs.sparkSession
     plan = source_plan(docs, block_words)
@@ -113,13 +114,13 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
     sources = spark.createDataFrame([tuple(p.values()) for p in plan], schema)
     if len(plan) <= BROADCAST_SOURCES:
         sources = F.broadcast(sources)
-    named = docs.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).withColumn("bucket", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), "rid"))), F.lit(buckets)))
+    named = docs.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).withColumn("bucket", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), "content"))), F.lit(buckets)))
     documents = named.select("rid", "doc_id", "size", "source_size", "target")
 
     in_bucket = named.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     ahead = F.coalesce(F.sum("n").over(Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     in_bucket = in_bucket.select(F.col("sid").alias("sid_"), F.col("bucket").alias("bucket_"), ahead.alias("ahead"))
-    inner = F.coalesce(F.sum("size").over(Window.partitionBy("sid", "bucket").orderBy("doc_id", "rid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inner = F.coalesce(F.sum("size").over(Window.partitionBy("sid", "bucket").orderBy("doc_id", "content", "rid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = named.filter("size > 0").withColumn("inner", inner)
     placed = placed.join(in_bucket, (F.col("sid") == F.col("sid_")) & (F.col("bucket") == F.col("bucket_"))).withColumn("at", F.col("ahead") + F.col("inner"))
     first, last = F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words)
@@ -160,10 +161,11 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
 
 
 def sized(docs: DataFrame, rid: Column | None = None) -> DataFrame:
-    """rid, doc_id, source, size (words) of each row, written once: rids stay the same in all that follows."""
+    """rid, doc_id, source, size (words) and content (a hash of the text) of each row, written once: rids stay the same in
+    all that follows."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     rid = F.monotonically_increasing_id() if rid is None else rid
-    return stored(docs.select(rid.alias("rid"), "doc_id", F.col("source").cast("string").alias("source"), size.alias("size")), "mix-sizes")
+    return stored(docs.select(rid.alias("rid"), "doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), F.xxhash64("text").alias("content")), "mix-sizes")
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:

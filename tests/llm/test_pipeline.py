@@ -221,6 +221,19 @@ def test_mixing_rows_without_ids_or_with_repeated_ones(spark):
     assert mixed.columns == docs.columns and all(r.text for r in mixed.collect())
 
 
+def test_mixing_does_not_hang_on_where_rows_are_stored(spark, tmp_path):
+    r = random.Random(8)
+    rows = [(r.choice([None, 5, k, k]), " ".join(f"w{r.randrange(50)}" for _ in range(r.choice([1, 30, 200]))), r.choice(["a", "b", None])) for k in range(60)]
+    rows += rows[:5]
+    out = []
+    for k in range(3):
+        r.shuffle(rows)
+        spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(k + 1).write.parquet(f"{tmp_path}/{k}")
+        mixed = mixing.mix_documents(spark.read.parquet(f"{tmp_path}/{k}")).collect()
+        out.append(sorted(map(tuple, mixed), key=str))
+    assert out[0] == out[1] == out[2]
+
+
 def test_kernels_use_two_independent_hashes():
     words = kernels.Words(np.frombuffer(b"ab ba ab", dtype=np.uint8), np.array([0, 8]), kernels.SPACED, False)
     one, two = words.hashes(), words.hashes(kernels.OTHER_BASE)
