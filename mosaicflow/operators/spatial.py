@@ -84,6 +84,12 @@ def box_cells(df: DataFrame, cell: float, touched: bool = True, x0: str = "x0",
     return out.withColumn("cx", F.explode(F.sequence(lo(x0), hi(x1)))).withColumn("cy", F.explode(F.sequence(lo(y0), hi(y1))))
 
 
+def cell_array(cell: float, x0: str = "x0", y0: str = "y0", x1: str = "x1", y1: str = "y1") -> Column:
+    """The cells that a box of some extent touches, cx * 1000 + cy each; degrees at 0.5 a cell and coarser keep them apart."""
+    span = lambda a, b: F.sequence(F.floor(F.col(a) / cell), F.ceil(F.col(b) / cell) - 1)
+    return F.flatten(F.transform(span(x0, x1), lambda x: F.transform(span(y0, y1), lambda y: x * 1000 + y)))
+
+
 def coverage(cells: DataFrame, keys: list[str], total: Column) -> DataFrame:
     """Distinct cells of each group and their share of `total` (an aggregate expression)."""
     return cells.groupBy(*keys).agg(F.countDistinct("cx", "cy").alias("covered"), total.alias("cells")).withColumn("fraction", F.col("covered") / F.col("cells"))

@@ -166,9 +166,8 @@ def points_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def greedy_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows only: each pick depends on all before it. tests/ hold it against a plain loop."""
-    f = S.split_antimeridian(A.footprints(spark, sf_dir)).selectExpr("k", "x0 as u0", "y0 as v0", "x1 as u1", "y1 as v1")
+    f = A.footprints(spark, sf_dir).selectExpr("x0", "y0", "x1", "y1", "k", "int(k % 2) as fill", "array(77, 40, 20, 5)[int(k % 4)] as bw", "k % 11 = 0 as mixed", "cast(if(k % 97 = 0, k, null) as double) as forced")
+    f = S.split_antimeridian(V.last_of_equals(f, ["x0", "y0", "x1", "y1"], "k")).withColumnsRenamed({"x0": "u0", "y0": "v0", "x1": "u1", "y1": "v1"})
     tiles = S.lonlat_tiles(spark).withColumn("n_cells", F.expr("cast((x1 - x0) * 2 * ((y1 - y0) * 2) as long)"))
-    pairs = S.box_join(tiles, f, 6.0)
-    box = pairs.select("name", "k", "n_cells", F.greatest("x0", "u0").alias("x0"), F.greatest("y0", "v0").alias("y0"), F.least("x1", "u1").alias("x1"), F.least("y1", "v1").alias("y1"))
-    c = S.box_cells(box, 0.5).selectExpr("name as tile", "cast(k as string) as name", "k as ordinal", "int(k % 2) as fill", "array(77, 40, 20, 5)[int(k % 4)] as bw", "k % 11 = 0 as mixed", "cast(if(k % 97 = 0, k, null) as double) as forced", "cx * 1000 + cy as cell", "n_cells", "cast(null as boolean) as target")
-    return V.cover(c)
+    pairs = S.box_join(tiles, f, 6.0).withColumns({"x0": F.greatest("x0", "u0"), "y0": F.greatest("y0", "v0"), "x1": F.least("x1", "u1"), "y1": F.least("y1", "v1")})
+    return V.cover(pairs.select(F.col("name").alias("tile"), F.col("k").cast("string").alias("name"), F.col("k").alias("ordinal"), "fill", "bw", "mixed", "forced", S.cell_array(0.5).alias("cell"), "n_cells", F.lit(None).cast("boolean").alias("target")))

@@ -97,6 +97,44 @@ def test_cover_by_tile(spark):
     assert cover.cover(df.limit(0)).count() == 0
 
 
+def test_greedy_cover_query_with_equal_candidates(spark, tmp_path, monkeypatch):
+    """More footprints of the same places and tiers bring the cover no more rows, and the picks are those of all candidates."""
+    from mosaicflow.plans import adapters, spatial_queries
+
+    keys = [base + 19800 * turn for base in range(200) for turn in range(1, 6)]  # one place, tier and mode a base
+    spark.createDataFrame([(k, k) for k in keys], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    given = []
+    monkeypatch.setattr(spatial_queries.V, "cover", lambda c, f=cover.cover: (given.append(c), f(c))[1])
+    got = sorted(map(tuple, spatial_queries.greedy_cover(spark, str(tmp_path)).collect()))
+    f = spatial.split_antimeridian(adapters.footprints(spark, str(tmp_path))).selectExpr("k", "x0 as u0", "y0 as v0", "x1 as u1", "y1 as v1")
+    pairs = spatial.box_join(spatial.lonlat_tiles(spark).withColumn("n_cells", F.expr("cast((x1 - x0) * (y1 - y0) * 4 as long)")), f, 6.0)
+    box = pairs.select("name", "k", "n_cells", F.greatest("x0", "u0").alias("x0"), F.greatest("y0", "v0").alias("y0"), F.least("x1", "u1").alias("x1"), F.least("y1", "v1").alias("y1"))
+    rows = spatial.box_cells(box, 0.5).selectExpr("name as tile", "cast(k as string) as name", "k as ordinal", "int(k % 2) as fill", "array(77, 40, 20, 5)[int(k % 4)] as bw", "k % 11 = 0 as mixed", "cast(if(k % 97 = 0, k, null) as double) as forced", "cx * 1000 + cy as cell", "n_cells", "cast(null as boolean) as target")
+    assert got == sorted(map(tuple, cover.cover(rows).collect()))
+    assert len(got) > 200 and {k for k in keys if k % 97 == 0} <= {int(r[2]) for r in got}
+    candidates = {k for k in keys if k % 97 == 0} | {max(k for k in keys if k % 19800 == base and k % 97) for base in range(200)}
+    assert given[0].select("name").distinct().count() == len(candidates) < len(keys) / 4
+    assert given[0].count() == pairs.filter(F.col("k").isin(*candidates)).count()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cover_of_arrays_and_of_last_of_equals(spark, seed):
+    """Arrays of cells stand for rows of cells, and candidates that equal a later one of their tier change no pick."""
+    r = random.Random(seed)
+    shapes = [sorted(r.sample(range(40), r.randint(1, 15))) for _ in range(6)]
+    open_cells = set(r.sample(range(40), 25))
+    rows = [(t, f"g{k}", k, r.randint(0, 1), r.choice([20, 40]), r.random() < 0.3, float(9 - k) if k in (3, 8) else None, r.choice(shapes), 60) for t in "ab" for k in range(30)]
+    df = spark.createDataFrame(rows, "tile string, name string, ordinal long, fill int, bw int, mixed boolean, forced double, cell array<long>, n_cells long")
+    for gaps in (False, True):
+        flat = df.withColumn("cell", F.explode("cell")).withColumn("target", F.col("cell").isin(*open_cells) if gaps else F.lit(None).cast("boolean"))
+        want = sorted(map(tuple, cover.cover(flat, 0.05).collect()))
+        last = cover.last_of_equals(df, ["tile", "cell", "n_cells"]).withColumn("name", F.format_string("g%d", "ordinal"))
+        assert last.count() < len(rows)
+        arrays = lambda d, g=gaps: d.withColumn("target", F.lit(True)).withColumn("cell", F.array_intersect("cell", F.lit(sorted(open_cells)))).unionByName(d.withColumn("target", F.lit(False)).withColumn("cell", F.array_except("cell", F.lit(sorted(open_cells))))) if g else d.withColumn("target", F.lit(None).cast("boolean"))
+        assert sorted(map(tuple, cover.cover(arrays(df), 0.05).collect())) == want
+        assert sorted(map(tuple, cover.cover(arrays(last), 0.05).collect())) == want
+
+
 @pytest.mark.parametrize("eight", [True, False])
 def test_regions_across_blocks(spark, eight):
     r = np.random.default_rng(5)
