@@ -263,8 +263,9 @@ def closed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("with b as (select vec_id, [cast(floor(x * 100) as bigint) for x in embedding] as q from embeddings) select vec_id, cast(list_sum(q[1:8]) as bigint) as first_row, cast(list_max(q) as bigint) as top, cast(list_sum(list_filter(q, lambda x, i: (i - 1) % 8 < 2 and i - 1 < 16)) as bigint) as corner from b")
 def array_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = F.transform("embedding", lambda x: F.floor(x.cast("double") * 100))
-    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
+    """Products are in the vectors' own precision; sums leave out nulls, and of nothing are null."""
+    q = F.transform("embedding", lambda x: F.floor(x * F.lit(100).cast("float")))
+    total = lambda a: F.aggregate(a, F.lit(None).cast("long"), lambda s, x: F.coalesce(s + x, s, x))
     b = A.table(spark, sf_dir, "embeddings").select("vec_id", q.alias("q"))
     return b.select("vec_id", total(F.slice("q", 1, 8)).alias("first_row"), F.array_max("q").alias("top"), total(F.filter("q", lambda x, i: (i % 8 < 2) & (i < 16))).alias("corner"))
 
