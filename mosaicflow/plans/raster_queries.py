@@ -24,7 +24,7 @@ MEANS = "means as (select frame, cell, cycle, cast((2 * sum(v) * 100 + count(*))
   select frame, cell, n, mean, sigma, case when mean <> 0 then sigma / mean end as cv from s"""
 )
 def frame_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.temporal_statistics(A.stack(spark, sf_dir).filter("v > 0"), ["frame", "cell"], "cycle", "v")
+    return S.temporal_statistics(A.stack(spark, sf_dir), ["frame", "cell"], "cycle", "v")
 
 
 @query(f"with {A.STACK} select frame, cast(floor(cell / 8.0) as bigint) as bx, cast(floor(id / 1000.0) as bigint) as by, cast(sum(v) as bigint) as total, count(v) as n from stack where v > 0 group by all")

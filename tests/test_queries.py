@@ -2,6 +2,8 @@
 
 import math
 import os
+import random
+from datetime import datetime
 
 import duckdb
 import numpy as np
@@ -64,6 +66,16 @@ def test_array_blocks_in_single_precision(spark, tmp_path):
     assert ours == theirs
 
 
+def test_frame_statistics_of_zeros(spark, tmp_path):
+    """A value of zero is an observation: it lowers its cycle's mean, and a cycle of zeros alone counts."""
+    r = random.Random(3)
+    data = [(k, datetime(2024, 1, 1 + r.randrange(30), 12), k % 3, "ab"[k % 2], r.choice([0.0, 0.0, 0.004, 1.25, 7.5])) for k in range(300)] + [(300 + k, datetime(2024, 1, 1 + 6 * k), 9, "a", 0.0) for k in range(4)]
+    spark.createDataFrame(data, "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    ours, theirs = held_against_sql(spark, "frame_statistics", tmp_path)
+    assert len(ours) == 7
+    assert ours == theirs
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_sql_has_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
