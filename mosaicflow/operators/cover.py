@@ -83,4 +83,5 @@ def cover(cells: DataFrame, least_share: float = 0.001) -> DataFrame:
         return pa.table({"tile": pa.array([d["tile"].iloc[0]] * len(picks), pa.string()), "seq": pa.array(range(len(picks)), pa.int64()), "name": pa.array([order[k] for k, _ in picks], pa.string()), "new_cells": pa.array([n for _, n in picks], pa.int64())})
 
     columns = cells.select("tile", "name", "ordinal", "fill", "bw", "mixed", "forced", "cell", "n_cells", "target")
-    return columns.groupBy("tile").applyInArrow(run, "tile string, seq long, name string, new_cells long")
+    dealt = columns.repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), "tile")  # few bytes, much work: not to be coalesced
+    return dealt.groupBy("tile").applyInArrow(run, "tile string, seq long, name string, new_cells long")
