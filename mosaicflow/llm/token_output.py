@@ -51,8 +51,11 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None =
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = END_ID, id_col: str = "doc_id", text_col: str = "text") -> str:
-    """Encode all documents and write them in ascending id order (null ids first): file by file, each a range of ids."""
-    ordered = docs.select(F.col(id_col), F.col(text_col)).repartitionByRange(id_col).sortWithinPartitions(id_col)
+    """Encode all documents and write them in ascending id order (null ids first): file by file, each a range of ids.
+
+    Rows of one id, or of none, follow each other by text (null first), so their places do not hang on where rows are stored.
+    """
+    ordered = docs.select(F.col(id_col), F.col(text_col)).repartitionByRange(id_col).sortWithinPartitions(id_col, text_col)
     with cleaned(docs.sparkSession):
         (
             encode_documents(ordered, tokenizer_path, end_id, id_col, text_col)
@@ -75,7 +78,7 @@ def read_tokens(spark: SparkSession, path: str, id_type: T.DataType | None = Non
 def token_digest(spark: SparkSession, path: str, id_type: T.DataType | None = None) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each written document, all from the files.
 
-    Rows of one id follow each other in the files' order, rows without id come first; a folder without rows gives none.
+    Rows of one id follow each other in the files' order (by text, as write_tokens has them), rows without id come first; a folder without rows gives none.
     start: files hold ranges of ids, so a file starts behind all ids of the files of smaller ids; inside a file a
     running sum goes in row order. The sum over files has one row a file, no more.
     """

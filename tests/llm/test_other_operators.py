@@ -65,6 +65,20 @@ def test_token_counts_and_output(spark):
     assert token_digest(spark, write_tokens(docs.limit(0), new_path(spark, "tokens-none"), public.path("word_bpe_49k.json"))).count() == 0
 
 
+def test_token_output_of_rows_of_one_id_does_not_hang_on_their_layout(spark):
+    rows = [(i % 3 or None, None if i == 7 else "word " * (i % 41)) for i in range(200)]
+    words = tokens.load_tokenizer(public.path("word_bpe_49k.json"))
+    want, start = [], 0
+    for d, t in sorted(rows, key=lambda x: (x[0] or 0, x[1] is not None, x[1])):
+        ids = words.encode(t or "", add_special_tokens=False).ids + [2]
+        want.append((start, d, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    for parts, own in ((1, rows), (7, rows[::-1])):
+        docs = spark.createDataFrame(own, "doc_id long, text string").repartition(parts)
+        path = write_tokens(docs, new_path(spark, "tokens-ties"), public.path("word_bpe_49k.json"))
+        assert sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in token_digest(spark, path).collect()) == want
+
+
 def test_language_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r for r in language.op2_language(spark, SF).collect()}
