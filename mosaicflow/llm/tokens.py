@@ -3,7 +3,7 @@
 Two exact ways to cut an encoding:
 
 * `PieceEncoder` cuts a text before any ASCII white space that follows a character which surely is none, and before
-  a stop that follows a letter. The two tokenizers' patterns end a word at both, look ahead only over white space,
+  a mark that follows a letter. The two tokenizers' patterns end a word at both, look ahead only over white space,
   and normalise nothing across such a cut; so the pieces' ids, joined, are the text's ids. Each distinct piece is
   encoded once and kept.
 * `encode_huge` is overlap resynchronisation for documents too long to encode at once: overlapping chunks are
@@ -35,13 +35,19 @@ CHUNK, OVERLAP = 16_384, 256
 ENCODE_BYTES = 4_000_000
 
 _SPACE = ~K.SPACED
+#: Lower-cases A-Z and makes a blank of each ASCII white space.
+_PLAIN = np.where(_SPACE, 0x20, K.lowered(np.arange(256))).astype(np.uint8)
 _VISIBLE = np.zeros(256, dtype=bool)
 _VISIBLE[0x21:0x7F] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
-#: Marks before which both patterns end a word of letters.
+#: The second bytes of the two-byte letters U+00C0 to U+00FF, behind 0xC3: all but the signs for times and divided by.
+_LATIN = np.zeros(256, dtype=bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+#: Marks before which both patterns end a word of letters: ASCII's, but for the apostrophe, which may open an ending.
 _STOP = np.zeros(256, dtype=bool)
-_STOP[np.frombuffer(b",.;:!?", dtype=np.uint8)] = True
+_STOP[np.frombuffer(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", dtype=np.uint8)] = True
 
 
 def load_tokenizer(path: str):
@@ -52,7 +58,8 @@ def load_tokenizer(path: str):
 
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray, stops: np.ndarray = _STOP) -> np.ndarray:
-    """Where pieces start: at each document, at white space behind a visible character, at a stop behind a letter A-Z, a-z.
+    """Where pieces start: at each document, at white space behind a visible character, at a stop behind a letter A-Z, a-z
+    or one of U+00C0 to U+00FF.
 
     A visible character is ASCII 0x21-0x7E, or one of two UTF-8 bytes that starts with 0xC3-0xDF (no white space is).
     """
@@ -62,14 +69,16 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray, stops: np.ndarray = _STO
         visible = _VISIBLE[data]
         visible[1:] |= (data[1:] >= 0x80) & (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
         cut[1:n] = visible[:-1] & _SPACE[data[1:]]
-        cut[1:n] |= _LETTER[data[:-1]] & stops[data[1:]]
+        letter = _LETTER[data]
+        letter[1:] |= _LATIN[data[1:]] & (data[:-1] == 0xC3)
+        cut[1:n] |= letter[:-1] & stops[data[1:]]
     cut[offsets] = True
     cut[n] = False
     return np.flatnonzero(cut)
 
 
 class PieceEncoder:
-    """Encodes text columns by distinct pieces; keeps up to `most` pieces between calls."""
+    """Encodes text columns by distinct pieces; keeps up to `most` pieces between calls, those that came in most of them."""
 
     def __init__(self, path: str, most: int = 300_000):
         self.tokenizer, self.most = load_tokenizer(path), most
@@ -84,30 +93,48 @@ class PieceEncoder:
             self.stops[np.frombuffer(t, dtype=np.uint8)] = False
         #: Capitals A-Z may be lowered before pieces are told apart where the library lowers them anyway.
         self.lowers = all(self.tokenizer.encode(x, add_special_tokens=False).ids == self.tokenizer.encode(x.lower(), add_special_tokens=False).ids for x in ("ABC", "Hello", "E\u0301T", "XYZ Q"))
-        #: Kept pieces, by number their ids' lengths and starts in flat; Arrow and numpy, for a million strings would weigh.
+        #: Any ASCII white space may be a blank where the library drops all of it and tells words apart by each alike.
+        alike = {tuple(self.tokenizer.encode(f"a{c}b{c}{c}'{c}s{c}1{c}2,{c}.", add_special_tokens=False).ids) for c in " \t\n\x0b\x0c\r"}
+        self.blanks = self.mark == "\x01" and len(alike) == 1
+        #: Kept pieces, by number in how many calls each came, their ids' lengths and starts in flat; Arrow and numpy, for a
+        #: million strings would weigh.
         self.known = pa.array([], pa.string())
+        self.used = np.zeros(0, dtype=np.int32)
         self.lens = np.zeros(0, dtype=np.int32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
     def learn(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The number of each piece; by number: ids' lengths and starts; all ids. Beyond `most` pieces none is kept for later."""
+        """The number of each of these pieces, all different; by number: ids' lengths and starts; all ids."""
         at = pc.index_in(pieces, value_set=self.known)
         got = at.fill_null(-1).to_numpy().astype(np.int64)
         missing = np.flatnonzero(got < 0)
+        self.used[got[got >= 0]] += 1
         lens, starts, flat = self.lens, self.starts, self.flat
         if len(missing):
             new_pieces = pieces.take(pa.array(missing))
-            new, new_lens = self.fresh(new_pieces.to_pylist())
+            new, new_lens = self.fresh(new_pieces.to_numpy(zero_copy_only=False).tolist())
             got[missing] = np.arange(len(lens), len(lens) + len(missing))
             starts = np.concatenate((starts, len(flat) + np.cumsum(new_lens) - new_lens))
             lens, flat = np.concatenate((lens, new_lens.astype(np.int32))), np.concatenate((flat, new))
-            if len(lens) <= self.most:
-                self.known = pa.concat_arrays([self.known, new_pieces])
-                self.lens, self.starts, self.flat = lens, starts, flat
+            self.known = pa.concat_arrays([self.known, new_pieces])
+            self.used = np.concatenate((self.used, np.zeros(len(missing), dtype=np.int32)))
+            self.lens, self.starts, self.flat = lens, starts, flat
+            if len(lens) > self.most:
+                self.forget()
         return got, lens, starts, flat
 
-    def fresh(self, pieces: list[str], group: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+    def forget(self) -> None:
+        """Keep half of `most` pieces, those that came in most calls, of equals the newest; older calls count half."""
+        n = len(self.used)
+        keep = np.sort(n - 1 - np.argsort(-self.used[::-1], kind="stable")[: self.most // 2])
+        self.known, self.used = self.known.take(pa.array(keep)), self.used[keep] // 2
+        lens, starts = self.lens[keep], self.starts[keep]
+        sums = np.cumsum(lens, dtype=np.int64) - lens
+        self.flat = self.flat[np.repeat(starts - sums, lens) + np.arange(lens.sum())]
+        self.lens, self.starts = lens, sums
+
+    def fresh(self, pieces: list[str], group: int = 50) -> tuple[np.ndarray, np.ndarray]:
         """Ids of these pieces and each one's number of them.
 
         Pieces go joined by a mark, so each is encoded alone at a fraction of the cost of a call: an added token, for
@@ -131,7 +158,7 @@ class PieceEncoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray, want_ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (none if not wanted), and each document's number of ids."""
         if self.lowers:
-            low = K.lowered(data)
+            low = _PLAIN[data] if self.blanks else K.lowered(data)
             raw = low.tobytes()
             if not any(t in raw for t in self.added):  # an added token is matched before letters are lowered
                 data = low

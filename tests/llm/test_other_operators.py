@@ -35,6 +35,45 @@ def test_pieces_give_the_text_s_ids(name):
     assert counts.tolist() == list(map(len, want)) and ids.tolist() == [x for w in want for x in w]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_cut_at_marks_give_the_text_s_ids(name):
+    r = random.Random(3)
+    some = [chr(c) for c in range(1, 256)] + ["'s", "'ll", "\u0301", "\u0338", "é", "日", "ａ", "İ"] + list("abcdefghéüßñ .,'") * 6
+    data = ["".join(r.choice(some) for _ in range(r.randint(1, 60))) for _ in range(3000)]
+    encoder, raw = tokens.PieceEncoder(public.path(name)), [t.encode() for t in data]
+    ids, counts = encoder.encode(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)]))
+    want = [e.ids for e in encoder.tokenizer.encode_batch_fast(data, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == [x for w in want for x in w]
+
+
+def pieces_encoded(encoder, monkeypatch):
+    """The pieces that the library gets from here on."""
+    got, fresh = [], encoder.fresh
+    monkeypatch.setattr(encoder, "fresh", lambda pieces: (got.extend(pieces), fresh(pieces))[1])
+    return got
+
+
+def test_a_word_is_encoded_once_whatever_marks_and_white_space_are_beside_it(monkeypatch):
+    encoder = tokens.PieceEncoder(public.path("word_bpe_49k.json"))
+    got = pieces_encoded(encoder, monkeypatch)
+    data = " Été.\nété,\tété***\rété)\x0bété/ok été%%%\x0cété été-ok".encode()
+    encoder.encode(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]))
+    assert [p for p in got if "té" in p] == [" Été", " été"] and " " not in "".join(p[1:] for p in got)
+
+
+def test_kept_pieces_follow_what_comes_often(monkeypatch):
+    encoder = tokens.PieceEncoder(public.path("word_bpe_49k.json"), most=8)
+    got = pieces_encoded(encoder, monkeypatch)
+    for k in range(40):
+        data = f" often{'' if k else ' first' * 9} once{chr(97 + k % 26)}{chr(97 + k // 26)} other{chr(97 + k % 26)}{k // 26}".encode()
+        encoder.encode(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]))
+        assert len(encoder.known) == len(encoder.lens) == len(encoder.starts) == len(encoder.used) <= 8
+        if k == 0:
+            got.clear()
+            encoder.encode(data := np.frombuffer(b" a b c d e f g h i j", dtype=np.uint8), np.array([0, len(data)]))
+    assert got.count(" often") <= 1
+
+
 def test_overlapping_chunks_give_the_text_s_ids():
     r = random.Random(4)
     tokenizer = tokens.load_tokenizer(public.path("byte_bpe_50k.json"))
